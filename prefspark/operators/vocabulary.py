@@ -102,7 +102,7 @@ def encode_tokens(
 
     def lookup(token: Column) -> Column:
         return F.coalesce(
-            F.get(maps, F.pmod(F.xxhash64(token), F.lit(slots)).cast("int")).getItem(token),
+            F.get(maps, F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))[token],
             F.lit(D.UNK_ID),
         )
 
@@ -112,26 +112,28 @@ def encode_tokens(
     ).drop("_maps")
 
 
+def _salted(vocabulary: DataFrame) -> DataFrame:
+    """The dictionary once per salt, under names no caller's column has."""
+    return vocabulary.select(
+        F.col("token").alias("_token"),
+        F.col("id").alias("_id"),
+        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"),
+    ).hint("shuffle_merge")
+
+
 def _encode_by_join(
     df: DataFrame, text: str, ids: str, vocabulary: DataFrame, key: str
 ) -> DataFrame:
     """Same result with a shuffle join, frequent tokens spread over salts by position."""
-    tokens = (
-        df.select(key, F.posexplode(split_tokens(F.col(text))).alias("pos", "token"))
-        .withColumn("salt", F.col("pos") % _SALTS)
-    )
-    salted = vocabulary.select("token", "id").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-    )
+    tokens = df.select(
+        key, F.posexplode(split_tokens(F.col(text))).alias("_pos", "_token")
+    ).withColumn("_salt", F.col("_pos") % _SALTS)
+    place = F.struct("_pos", F.coalesce("_id", F.lit(D.UNK_ID)).alias("_id"))
     coded = (
-        tokens.join(salted.hint("shuffle_merge"), ["token", "salt"], "left")
+        tokens.join(_salted(vocabulary), ["_token", "_salt"], "left")
         .groupBy(key)
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("pos", F.coalesce("id", F.lit(D.UNK_ID)).alias("id")))
-            ).alias("_coded")
-        )
-        .select(key, F.transform("_coded", lambda c: c.getField("id")).alias(ids))
+        .agg(F.array_sort(F.collect_list(place)).alias("_coded"))
+        .select(key, F.transform("_coded", lambda c: c.getField("_id")).alias(ids))
     )
     known = F.when(F.col(text).isNotNull(), F.coalesce(ids, F.array().cast("array<int>")))
     return df.join(coded, key, "left").withColumn(ids, known)
@@ -167,24 +169,15 @@ def decode_tokens(
 def _decode_by_join(
     df: DataFrame, ids: str, text: str, vocabulary: DataFrame, key: str
 ) -> DataFrame:
-    salted = vocabulary.where(~F.col("special")).select("id", "token").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-    )
+    words = F.transform("_words", lambda w: w.getField("_token"))
     decoded = (
-        df.select(key, F.posexplode(ids).alias("pos", "id"))
-        .withColumn("salt", F.col("pos") % _SALTS)
-        .join(salted.hint("shuffle_merge"), ["id", "salt"])
+        df.select(key, F.posexplode(ids).alias("_pos", "_id"))
+        .withColumn("_salt", F.col("_pos") % _SALTS)
+        .join(_salted(vocabulary.where(~F.col("special"))), ["_id", "_salt"])
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_words"))
-        .select(
-            key,
-            strip_text(
-                F.array_join(F.transform("_words", lambda w: w.getField("token")), " ")
-            ).alias(text),
-        )
+        .agg(F.array_sort(F.collect_list(F.struct("_pos", "_token"))).alias("_words"))
+        .select(key, strip_text(F.array_join(words, " ")).alias(text))
     )
     return df.join(decoded, key, "left").withColumn(
         text, F.when(F.col(ids).isNotNull(), F.coalesce(text, F.lit("")))
     )
-
-
