@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefspark.functions.binding import let
+
 
 def message_field(message: Column, message_type: T.DataType, key: str) -> Column:
     """Field ``key`` of a message; null where the message or the field is missing."""
@@ -61,15 +63,18 @@ def final_response(response: Column, response_type: T.DataType) -> Column:
             _field_type(message_type, "content"),
         )
 
-    answers = F.filter(
-        response,
-        lambda m: (message_field(m, message_type, "role") == "assistant")
-        & content(m).isNotNull(),
-    )
-    return F.coalesce(
-        content(F.get(answers, F.size(answers) - 1)),
-        content(F.get(response, F.size(response) - 1)),
-    )
+    def pick(messages: Column) -> Column:
+        answers = F.filter(
+            messages,
+            lambda m: (message_field(m, message_type, "role") == "assistant")
+            & content(m).isNotNull(),
+        )
+        return F.coalesce(
+            content(F.get(answers, F.size(answers) - 1)),
+            content(F.get(messages, F.size(messages) - 1)),
+        )
+
+    return let(response, pick)
 
 
 def response_problem(response: Column, response_type: T.DataType) -> Column:

@@ -9,6 +9,7 @@ from prefspark import defaults as D
 from prefspark.functions.losses import margin_hinge
 from prefspark.functions.tokens import attention_mask, pad_right, truncate_pair
 from prefspark.operators.ordinals import assign_batches
+from prefspark.storage import durable
 
 
 def pair_scores(scores: DataFrame) -> DataFrame:
@@ -42,15 +43,16 @@ def encode_pair_batches(
     """
     prompt, answer = truncate_pair(F.col("prompt_ids"), F.col("answer_ids"), max_length)
     cut = pairs.select("pair_id", prompt.alias("prompt_ids"), answer.alias("answer_ids"))
-    length = (F.size("prompt_ids") + F.size("answer_ids") + F.lit(4)).alias("length")
-    batches = assign_batches(cut.select("pair_id", length), ["pair_id"], batch_size).withColumn(
-        "width", F.max("length").over(Window.partitionBy("batch_id"))
-    )
+    length = F.size("prompt_ids") + F.size("answer_ids") + F.lit(4)
+    rows = durable(cut.withColumn("length", length))
+    width = F.max("length").over(Window.partitionBy("batch_id"))
+    batches = assign_batches(rows.select("pair_id", "length"), ["pair_id"], batch_size)
+    batches = batches.withColumn("width", width).drop("length")
     cls, sep = F.lit(D.SPECIAL_TOKENS.index(D.CLS)), F.lit(D.SPECIAL_TOKENS.index(D.SEP))
     ids = F.concat(
         F.array(cls), "prompt_ids", F.array(sep, sep), "answer_ids", F.array(sep)
     )
-    return cut.join(batches, "pair_id").select(
+    return rows.join(batches, "pair_id").select(
         "batch_id",
         "pair_id",
         F.size("prompt_ids").alias("prompt_length"),

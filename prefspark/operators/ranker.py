@@ -15,26 +15,27 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefspark import defaults as D
 from prefspark.functions.losses import margin_hinge
 from prefspark.functions.tokens import split_tokens
+from prefspark.storage import durable
 
-FEATURES = 1 << 14
+FEATURES = 1 << 12
 
 
-def _assemble(df: DataFrame, left: Column, right: Column, features: int) -> DataFrame:
-    """Add ``_features``: hashed word presence of two token arrays, side by side."""
-    tokens = df.withColumn("_left", left).withColumn("_right", right)
-    for side in ("_left", "_right"):
-        hashing = HashingTF(
-            numFeatures=features, binary=True, inputCol=side, outputCol=f"{side}_tf"
-        )
-        tokens = hashing.transform(tokens)
-    assembler = VectorAssembler(inputCols=["_left_tf", "_right_tf"], outputCol="_features")
-    return assembler.transform(tokens).drop("_left", "_right", "_left_tf", "_right_tf")
+def _hash_words(df: DataFrame, text: str, name: str, features: int) -> DataFrame:
+    """Add a sparse vector of hashed word presence."""
+    tokens = df.withColumn("_tokens", split_tokens(F.col(text)))
+    hashing = HashingTF(numFeatures=features, binary=True, inputCol="_tokens", outputCol=name)
+    return hashing.transform(tokens).drop("_tokens")
+
+
+def _side_by_side(df: DataFrame, left: str, right: str) -> DataFrame:
+    """Add ``_features``: two vectors as one."""
+    return VectorAssembler(inputCols=[left, right], outputCol="_features").transform(df)
 
 
 @dataclass(frozen=True)
@@ -46,12 +47,14 @@ class PairwiseRanker:
     margin: float
 
     def score(self, df: DataFrame, text: str, name: str) -> DataFrame:
-        """Add the reward of a text column."""
-        nothing = F.array().cast("array<string>")
-        assembled = _assemble(df, split_tokens(F.col(text)), nothing, self.features)
-        scored = self.model.transform(assembled)
+        """Add the reward of a text column: its words on one side, nothing on the other."""
+        hashed = _hash_words(df, text, "_words", self.features)
+        hashed = _hash_words(hashed.withColumn("_nothing", F.lit("")), "_nothing", "_blank", self.features)
+        scored = self.model.transform(_side_by_side(hashed, "_words", "_blank"))
         reward = vector_to_array("_raw")[1] * F.lit(self.margin)
-        return scored.withColumn(name, reward).drop("_features", "_raw", "prediction")
+        return scored.withColumn(name, reward).drop(
+            "_nothing", "_words", "_blank", "_features", "_raw", "prediction"
+        )
 
 
 def fit_pairwise_ranker(
@@ -60,7 +63,7 @@ def fit_pairwise_ranker(
     margin: float = D.MARGIN,
     features: int = FEATURES,
     regularisation: float = 0.01,
-    iterations: int = 50,
+    iterations: int = 20,
 ) -> PairwiseRanker:
     """Fit on text columns ``chosen`` and ``rejected``.
 
@@ -68,17 +71,19 @@ def fit_pairwise_ranker(
     """
     if margin <= 0:
         raise ValueError("margin must be positive")
-    tokens = pairs.select(
-        split_tokens(F.col("chosen")).alias("c"), split_tokens(F.col("rejected")).alias("r")
-    )
-    both = tokens.select(
-        F.explode(
+    hashed = _hash_words(pairs.select("chosen", "rejected"), "chosen", "c", features)
+    hashed = _hash_words(hashed, "rejected", "r", features)
+    c, r = F.col("c"), F.col("r")
+    orders = hashed.select(
+        F.inline(
             F.array(
-                F.struct(F.col("c").alias("a"), F.col("r").alias("b"), F.lit(1.0).alias("label")),
-                F.struct(F.col("r").alias("a"), F.col("c").alias("b"), F.lit(0.0).alias("label")),
+                F.struct(c.alias("a"), r.alias("b"), F.lit(1.0).alias("label")),
+                F.struct(r.alias("a"), c.alias("b"), F.lit(0.0).alias("label")),
             )
-        ).alias("o")
-    ).select("o.*")
+        )
+    )
+    # The fit reads its input several times; words are hashed once.
+    training = durable(_side_by_side(orders, "a", "b").select("_features", "label"))
     svm = LinearSVC(
         featuresCol="_features",
         labelCol="label",
@@ -88,7 +93,6 @@ def fit_pairwise_ranker(
         regParam=regularisation,
         maxIter=iterations,
     )
-    training = _assemble(both, F.col("a"), F.col("b"), features).select("_features", "label")
     return PairwiseRanker(svm.fit(training), features, float(margin))
 
 

@@ -10,6 +10,7 @@ from prefspark.functions.text import format_prompt, format_response
 from prefspark.functions.tokens import attention_mask, mask_prompt, pad_right, truncate_for_sft
 from prefspark.operators.ordinals import assign_batches
 from prefspark.operators.vocabulary import encode_tokens
+from prefspark.storage import durable
 
 
 def format_examples(examples: DataFrame) -> DataFrame:
@@ -45,24 +46,21 @@ def padded_batches(labelled: DataFrame, batch_size: int = D.BATCH_SIZE) -> DataF
     """Batches in key order, padded to the widest row of each batch.
 
     Batch number and width need only the key and the length of a row, so the arrays
-    themselves are moved once, by the join at the end.
+    themselves are moved once, by the join at the end. The rows are stored first: texts
+    are read and coded once, although lengths and arrays are used at different points.
     """
-    lengths = labelled.select("pair_id", F.size("input_ids").alias("length"))
-    batches = assign_batches(lengths, ["pair_id"], batch_size).withColumn(
-        "width", F.max("length").over(Window.partitionBy("batch_id"))
-    )
-    width = F.col("width")
-    return (
-        labelled.join(batches, "pair_id")
-        .select(
-            "batch_id",
-            "ordinal",
-            "pair_id",
-            "width",
-            pad_right(F.col("input_ids"), width, D.PAD_ID).alias("input_ids"),
-            attention_mask(F.col("length"), width).alias("attention_mask"),
-            pad_right(F.col("labels"), width, D.IGNORE_LABEL).alias("labels"),
-        )
+    rows = durable(labelled.withColumn("length", F.size("input_ids")))
+    batches = assign_batches(rows.select("pair_id", "length"), ["pair_id"], batch_size)
+    width = F.max("length").over(Window.partitionBy("batch_id"))
+    batches = batches.withColumn("width", width).drop("length")
+    return rows.join(batches, "pair_id").select(
+        "batch_id",
+        "ordinal",
+        "pair_id",
+        "width",
+        pad_right(F.col("input_ids"), F.col("width"), D.PAD_ID).alias("input_ids"),
+        attention_mask(F.col("length"), F.col("width")).alias("attention_mask"),
+        pad_right(F.col("labels"), F.col("width"), D.IGNORE_LABEL).alias("labels"),
     )
 
 

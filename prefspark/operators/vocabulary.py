@@ -17,35 +17,41 @@ from prefspark.storage import durable
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 _SALTS = 16
+_RANKING_SLICES = 64
 
 
 def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
     """Ids for the special tokens and for the ``size`` most frequent words of a corpus.
 
-    Words are counted before the shuffle, and the cut to ``size`` is taken per task first.
-    The result is checkpointed: it is small and every coding step reads it.
+    Words are counted before the shuffle. The best ``size`` are taken in every slice of
+    the distinct words and then among those, so that no task sees all distinct words. The
+    result is stored: it is small and every coding step reads it.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
+    best = [F.desc("n"), F.col("token")]
+    in_slice = Window.partitionBy(F.pmod(F.hash("token"), F.lit(_RANKING_SLICES))).orderBy(*best)
     ranked = (
         df.select(F.explode(split_tokens(F.col(text))).alias("token"))
-        .where(~F.col("token").isin(*D.SPECIAL_TOKENS))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "token")
+        .where(~F.col("token").isin(*D.SPECIAL_TOKENS))
+        .withColumn("_place", F.row_number().over(in_slice))
+        .where(F.col("_place") <= size)
+        .orderBy(*best)
         .limit(size)
     )
     # The window has no partitions, over at most ``size`` rows.
-    by_rank = Window.orderBy(F.desc("n"), "token")
     words = ranked.select(
         "token",
-        (F.row_number().over(by_rank) + (len(D.SPECIAL_TOKENS) - 1)).alias("id"),
+        (F.row_number().over(Window.orderBy(*best)) + (len(D.SPECIAL_TOKENS) - 1)).alias("id"),
         "n",
         F.lit(False).alias("special"),
     )
-    specials = df.sparkSession.createDataFrame(
-        [(t, i, 0, True) for i, t in enumerate(D.SPECIAL_TOKENS)],
-        "token string, id int, n bigint, special boolean",
+    specials = (
+        df.sparkSession.range(1)
+        .select(F.posexplode(F.lit(list(D.SPECIAL_TOKENS))).alias("id", "token"))
+        .select("token", "id", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("special"))
     )
     return durable(specials.unionByName(words))
 
@@ -58,7 +64,7 @@ def _entries_and_bytes(vocabulary: DataFrame) -> tuple[int, int]:
 
 
 def _slots(entries: int) -> int:
-    return max(1, entries // 4)
+    return max(1, entries)
 
 
 def _token_maps(vocabulary: DataFrame, slots: int) -> Column:
@@ -67,7 +73,7 @@ def _token_maps(vocabulary: DataFrame, slots: int) -> Column:
     Spark looks a key up in a map by walking its entries, so one large map would cost its
     whole length per token.
     """
-    filled = vocabulary.groupBy(F.pmod(F.xxhash64("token"), F.lit(slots)).alias("slot")).agg(
+    filled = vocabulary.groupBy(F.pmod(F.hash("token"), F.lit(slots)).alias("slot")).agg(
         F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("ids")
     )
     pairs = vocabulary.sparkSession.range(slots).withColumnRenamed("id", "slot").join(
@@ -102,7 +108,7 @@ def encode_tokens(
 
     def lookup(token: Column) -> Column:
         return F.coalesce(
-            F.get(maps, F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))[token],
+            F.get(maps, F.pmod(F.hash(token), F.lit(slots)))[token],
             F.lit(D.UNK_ID),
         )
 

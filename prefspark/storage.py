@@ -1,8 +1,9 @@
-"""Cut a lineage with a checkpoint that survives the loss of executors."""
+"""Cut a lineage with a table that survives the loss of executors."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from the checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` computed once, as a Parquet table in the checkpoint folder.
+
+    Unlike a checkpointed RDD, the table is read column by column and has a known size.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/prefspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
