@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from prefspark import defaults as D
 from prefspark.functions.binding import let
+from prefspark.storage import durable
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 16_384
@@ -72,7 +73,11 @@ def _bucket(key: Column, key_type: T.StructType, splits: list[dict]) -> Column:
 
         return step
 
-    return let(key, lambda k: F.aggregate(F.lit(strides).cast("array<int>"), F.lit(0), advance(k)))
+    number = let(
+        key, lambda k: F.aggregate(F.lit(strides).cast("array<int>"), F.lit(0), advance(k))
+    )
+    # Never null: without the coalesce, joins on the bucket would test it row by row.
+    return F.coalesce(number, F.lit(0))
 
 
 def _bucket_count(df: DataFrame, rows: int, rows_per_bucket: int) -> int:
@@ -136,7 +141,7 @@ def ordinal_within(
         return df.withColumn(name, number.cast("bigint"))
 
     # There are fewer large groups than rows / rows_per_bucket: fit for a broadcast.
-    marks = F.broadcast(large.select(*within, F.lit(True).alias("_large")))
+    marks = F.broadcast(durable(large.select(*within, F.lit(True).alias("_large"))))
     key, key_type = _key(df, order_by)
     buckets = _bucket_count(df, large_rows, rows_per_bucket)
     splits = _split_points(df.join(marks, within, "left_semi"), key, buckets, large_rows)

@@ -1,9 +1,10 @@
 """Token-level quantities of logged rollouts: one row per ``(rollout_id, pos)``.
 
-A rollout may be far longer than the others, up to a large share of the table. Windows
-therefore never run over a whole rollout, but over segments of ``SEGMENT_TOKENS``
-positions. What a segment needs from the rest of its rollout is a handful of numbers;
-they come from a table with one row per segment.
+Windows run over a whole rollout only if none is longer than ``SEGMENT_TOKENS``: then one
+shuffle by rollout serves all of them. A longer rollout may be a large share of the table.
+If there is one, windows run over segments of ``SEGMENT_TOKENS`` positions, and what a
+segment needs from the rest of its rollout, a handful of numbers, comes from a table with
+one row per segment. Positions count from 0 without gaps.
 """
 
 from __future__ import annotations
@@ -70,13 +71,18 @@ def add_terminal_rewards(tokens: DataFrame, terminal: DataFrame) -> DataFrame:
     )
 
 
-def _tail_sum(column: str) -> Column:
-    """Sum from a row to the end of its segment.
+def _has_long_rollout(tokens: DataFrame, segment_tokens: int) -> bool:
+    """Whether any position lies beyond the first segment; a pushed-down filter."""
+    return not tokens.where(F.col("pos") >= segment_tokens).isEmpty()
+
+
+def _tail_sum(column: str, keys: list[str]) -> Column:
+    """Sum from a row to the end of its partition.
 
     Descending order with a growing frame is linear; a frame that reaches from the
     current row to the end is summed anew for every row.
     """
-    backwards = Window.partitionBy(*_SEGMENT).orderBy(F.desc("pos"))
+    backwards = Window.partitionBy(*keys).orderBy(F.desc("pos"))
     return F.sum(column).over(backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
@@ -93,6 +99,8 @@ def _over_rollout(total: Column) -> Column:
 
 def returns_to_go(tokens: DataFrame, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """Add ``ret``: the undiscounted sum of ``token_reward`` from each token to the end."""
+    if not _has_long_rollout(tokens, segment_tokens):
+        return tokens.withColumn("ret", _tail_sum("token_reward", ["rollout_id"]))
     placed = tokens.withColumn("_segment", _segment(segment_tokens))
     later = (
         placed.groupBy(*_SEGMENT)
@@ -101,99 +109,103 @@ def returns_to_go(tokens: DataFrame, segment_tokens: int = SEGMENT_TOKENS) -> Da
         .drop("_sum")
     )
     return (
-        placed.withColumn("_tail", _tail_sum("token_reward"))
+        placed.withColumn("_tail", _tail_sum("token_reward", _SEGMENT))
         .join(later, _SEGMENT)
         .withColumn("ret", F.col("_tail") + F.col("_later"))
         .drop("_segment", "_tail", "_later")
     )
 
 
-def _spread(mean: str, variance: str, level: Column) -> list[Column]:
-    """Rows, mean and population deviation of a rollout from those of its segments.
+def _rollout_moments(segments: DataFrame) -> DataFrame:
+    """Add rows, mean and population deviation of each rollout from those of its segments.
 
-    ``level`` moves the mean of a segment before segments are put together.
+    Reads ``_rows, _m, _v``: size, mean and variance of a segment.
     """
-    rows = _over_rollout(F.sum("_rows"))
-    moved = F.col(mean) + level
-    centre = _over_rollout(F.sum(F.col("_rows") * moved)) / rows
-    return [
-        rows.alias("_total"),
-        centre.alias("_mean"),
-        moved.alias("_moved"),
-        F.col(variance).alias("_var"),
-    ]
+    total = _over_rollout(F.sum("_rows"))
+    mean = _over_rollout(F.sum(F.col("_rows") * F.col("_m"))) / total
+    spread = F.col("_v") + F.pow(F.col("_m") - F.col("_mean"), F.lit(2.0))
+    variance = _over_rollout(F.sum(F.col("_rows") * spread)) / F.col("_total")
+    return (
+        segments.withColumns({"_total": total, "_mean": mean})
+        .withColumn("_std", F.sqrt(variance))
+        .drop("_rows", "_m", "_v")
+    )
 
 
-def _with_deviation(segments: DataFrame) -> DataFrame:
-    within = F.col("_var") + F.pow(F.col("_moved") - F.col("_mean"), F.lit(2.0))
-    variance = _over_rollout(F.sum(F.col("_rows") * within)) / F.col("_total")
-    return segments.withColumn("_std", F.sqrt(variance))
+def _with_advantage(tokens: DataFrame) -> DataFrame:
+    """Add ``advantage`` from ``ret``, ``val`` and the moments of ``ret - val``."""
+    gap = F.col("ret") - F.col("val")
+    scaled = (gap - F.col("_mean")) / (F.col("_std") + F.lit(D.STD_EPSILON))
+    return tokens.withColumn(
+        "advantage", F.when(F.col("_total") > 1, scaled).otherwise(gap)
+    ).drop("_total", "_mean", "_std")
+
+
+def _normalised_in_rollout(tokens: DataFrame) -> DataFrame:
+    gap = F.col("ret") - F.col("val")
+    return _with_advantage(
+        tokens.withColumns(
+            {
+                "_total": _over_rollout(F.count(F.lit(1))),
+                "_mean": _over_rollout(F.avg(gap)),
+                "_std": _over_rollout(F.stddev_pop(gap)),
+            }
+        )
+    )
 
 
-def _normalised(value: Column) -> Column:
-    scaled = (value - F.col("_mean")) / (F.col("_std") + F.lit(D.STD_EPSILON))
-    return F.when(F.col("_total") > 1, scaled).otherwise(value)
+def _segment_moments(value: Column) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("_rows"),
+        F.avg(value).alias("_m"),
+        F.var_pop(value).alias("_v"),
+    ]
 
 
 def normalize_advantages(tokens: DataFrame, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """Add ``advantage``: ``ret - val``, normalised over each rollout with several tokens."""
-    raw = tokens.withColumn("_segment", _segment(segment_tokens)).withColumn(
-        "_raw", F.col("ret") - F.col("val")
-    )
-    segments = raw.groupBy(*_SEGMENT).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.avg("_raw").alias("_m"),
-        F.var_pop("_raw").alias("_v"),
-    )
-    segments = _with_deviation(
-        segments.select(*_SEGMENT, "_rows", *_spread("_m", "_v", F.lit(0.0)))
-    ).select(*_SEGMENT, "_total", "_mean", "_std")
-    return (
-        raw.join(segments, _SEGMENT)
-        .withColumn("advantage", _normalised(F.col("_raw")))
-        .drop("_segment", "_raw", "_total", "_mean", "_std")
-    )
+    if not _has_long_rollout(tokens, segment_tokens):
+        return _normalised_in_rollout(tokens)
+    placed = tokens.withColumn("_segment", _segment(segment_tokens))
+    segments = placed.groupBy(*_SEGMENT).agg(*_segment_moments(F.col("ret") - F.col("val")))
+    joined = placed.join(_rollout_moments(segments), _SEGMENT)
+    return _with_advantage(joined).drop("_segment")
 
 
 def returns_and_advantages(
     tokens: DataFrame, terminal: DataFrame, segment_tokens: int = SEGMENT_TOKENS
 ) -> DataFrame:
-    """Add ``terminal_reward``, ``ret`` and ``advantage`` in one pass.
+    """Add ``terminal_reward``, ``ret`` and ``advantage``.
 
-    Inside a segment the return differs from the local tail sum by one number, ``_level``:
-    the rewards of later segments plus the terminal reward. Moments of ``tail - val`` per
-    segment and ``_level`` are enough for the rollout's mean and deviation, so the tokens
-    are windowed and shuffled once and meet the segment table once.
+    The terminal reward is part of the last token's reward, so it is part of every return.
     """
+    reward = F.coalesce(F.col("terminal_reward"), F.lit(0.0))
+    if not _has_long_rollout(tokens, segment_tokens):
+        rewarded = tokens.join(terminal, "rollout_id", "left").withColumn("terminal_reward", reward)
+        tail = _tail_sum("token_reward", ["rollout_id"])
+        return _normalised_in_rollout(rewarded.withColumn("ret", tail + F.col("terminal_reward")))
+
+    # Inside a segment the return differs from the local tail sum by one number, _level: the
+    # rewards of later segments plus the terminal reward. It moves the mean of the segment
+    # and leaves its variance, so tokens meet the segment table once.
     placed = tokens.withColumn("_segment", _segment(segment_tokens))
-    local = placed.withColumn("_tail", _tail_sum("token_reward"))
-    gap = F.col("_tail") - F.col("val")
+    local = placed.withColumn("_tail", _tail_sum("token_reward", _SEGMENT))
     segments = (
         local.groupBy(*_SEGMENT)
         .agg(
             F.sum("token_reward").alias("_sum"),
-            F.count(F.lit(1)).alias("_rows"),
-            F.avg(gap).alias("_m"),
-            F.var_pop(gap).alias("_v"),
+            *_segment_moments(F.col("_tail") - F.col("val")),
         )
         .join(terminal, "rollout_id", "left")
-        .withColumn("terminal_reward", F.coalesce(F.col("terminal_reward"), F.lit(0.0)))
-        .withColumn(
-            "_level",
-            _later_sum("_sum") + F.col("terminal_reward"),
-        )
+        .withColumn("terminal_reward", reward)
+        .withColumn("_level", _later_sum("_sum") + F.col("terminal_reward"))
+        .withColumn("_m", F.col("_m") + F.col("_level"))
+        .drop("_sum")
     )
-    segments = _with_deviation(
-        segments.select(
-            *_SEGMENT, "terminal_reward", "_level", "_rows", *_spread("_m", "_v", F.col("_level"))
-        )
-    ).select(*_SEGMENT, "terminal_reward", "_level", "_total", "_mean", "_std")
-    return (
-        local.join(segments, _SEGMENT)
-        .withColumn("ret", F.col("_tail") + F.col("_level"))
-        .withColumn("advantage", _normalised(F.col("ret") - F.col("val")))
-        .drop("_segment", "_tail", "_level", "_total", "_mean", "_std")
+    joined = local.join(_rollout_moments(segments), _SEGMENT).withColumn(
+        "ret", F.col("_tail") + F.col("_level")
     )
+    return _with_advantage(joined).drop("_segment", "_tail", "_level")
 
 
 def next_tokens(tokens: DataFrame, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:

@@ -15,7 +15,8 @@ from prefspark.functions.text import strip_text
 from prefspark.functions.tokens import split_tokens
 from prefspark.storage import durable
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
+_ENTRY_BYTES = 64
 _SALTS = 16
 _RANKING_SLICES = 64
 
@@ -58,7 +59,7 @@ def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
 
 def _entries_and_bytes(vocabulary: DataFrame) -> tuple[int, int]:
     row = vocabulary.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0))
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token") + _ENTRY_BYTES), F.lit(0))
     ).first()
     return row[0], row[1]
 
