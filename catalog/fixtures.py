@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from prefspark.operators.conversations import preference_pairs
 from prefspark.operators.ordinals import ordinal_within
 from prefspark.operators.vocabulary import build_vocabulary
+from prefspark.storage import durable
 
 VOCABULARY_SIZE = 1000
 
@@ -101,6 +102,11 @@ def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def logged_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollouts as a stored table, for queries that read them more than once."""
+    return durable(rollouts(spark, sf_dir))
+
+
 def terminal_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reward per rollout."""
     users = table(spark, sf_dir, "events").select("user_id").distinct()

@@ -240,13 +240,13 @@ def evaluation_summary(spark, sf):
 
 
 def _rewarded(spark, sf):
-    tokens = T.drift_rewards(T.response_tokens(X.rollouts(spark, sf)))
+    tokens = T.drift_rewards(T.response_tokens(X.logged_rollouts(spark, sf)))
     return T.returns_and_advantages(tokens, X.terminal_rewards(spark, sf))
 
 
 @query
 def align_reference(spark, sf):
-    tokens = X.rollouts(spark, sf)
+    tokens = X.logged_rollouts(spark, sf)
     reference = tokens.where("token_id % 10 <> 3").select("rollout_id", "pos", "ref_lp")
     aligned = T.align_reference(tokens.select("rollout_id", "pos", "old_lp"), reference)
     return aligned.select("rollout_id", "pos", r6("old_lp").alias("old_lp"), r6("ref_lp").alias("ref_lp"))
@@ -254,7 +254,7 @@ def align_reference(spark, sf):
 
 @query
 def unmatched_tokens(spark, sf):
-    tokens = X.rollouts(spark, sf)
+    tokens = X.logged_rollouts(spark, sf)
     reference = tokens.where("token_id % 10 <> 3").select("rollout_id", "pos", "ref_lp")
     return T.unmatched_tokens(tokens.select("rollout_id", "pos", "token_id"), reference)
 
@@ -290,14 +290,14 @@ def kl_token_rewards(spark, sf):
 
 @query
 def terminal_rewards(spark, sf):
-    tokens = T.drift_rewards(X.rollouts(spark, sf))
+    tokens = T.drift_rewards(X.logged_rollouts(spark, sf))
     rewarded = T.add_terminal_rewards(tokens, X.terminal_rewards(spark, sf))
     return rewarded.select("rollout_id", "pos", r6("token_reward").alias("token_reward"))
 
 
 @query
 def returns_to_go(spark, sf):
-    tokens = T.returns_to_go(T.drift_rewards(X.rollouts(spark, sf)))
+    tokens = T.returns_to_go(T.drift_rewards(X.logged_rollouts(spark, sf)))
     return tokens.select("rollout_id", "pos", r6("ret").alias("ret"))
 
 
@@ -334,7 +334,7 @@ def value_loss(spark, sf):
 
 @query
 def rollout_metrics(spark, sf):
-    metrics = jobs.rollout_losses(X.rollouts(spark, sf), X.terminal_rewards(spark, sf))
+    metrics = jobs.rollout_losses(X.logged_rollouts(spark, sf), X.terminal_rewards(spark, sf))
     return metrics.select(
         "rollout_id",
         "n_tokens",

@@ -45,6 +45,17 @@ def test_query_equals_sql(spark, connection, name):
     assert bool(python) == (name == "batch_score")
 
 
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+def test_single_tasks_get_aggregates_only(spark, name):
+    text = io.StringIO()
+    with redirect_stdout(text):
+        entry.queries()[name](spark, SF).explain()
+    lines = text.getvalue().splitlines()
+    for line, child in zip(lines, lines[1:]):
+        if "Exchange SinglePartition" in line:
+            assert "Aggregate" in child or "LocalLimit" in child, child
+
+
 def test_scans_read_only_what_they_need(spark):
     def schemas(name):
         return re.findall(r"ReadSchema: struct<(.*)>", plan_of(entry.queries()[name](spark, SF)))
