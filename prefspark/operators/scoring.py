@@ -1,4 +1,4 @@
-"""Apply a caller's scorer to batches of rows."""
+"""Apply a caller's scorer or judge to batches of rows."""
 
 from __future__ import annotations
 
@@ -9,44 +9,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def batch_score(
+def _apply(
     df: DataFrame,
-    make_scorer: Callable[[], Callable[..., Sequence[Any]]],
+    make: Callable[[], Callable[..., Sequence[Any]]],
     keys: Sequence[str],
     inputs: Sequence[str],
-    name: str = "score",
+    name: str,
+    kind: T.DataType,
+    convert: Callable[[Any], Any],
 ) -> DataFrame:
-    """Keys and a ``DOUBLE`` score per row.
+    """Keys and one converted result per row; null for rows whose call fails.
 
-    ``make_scorer`` runs once per task, so a model is loaded once and never sent with the
-    rows. The scorer gets one pandas column per input and returns as many numbers. If it
-    raises TypeError or ValueError, the batch is scored row by row and a failing row gets
-    null.
+    ``make`` runs once per task, so a model is loaded once and never sent with the rows.
+    The callable gets one pandas column per input and returns as many results. If it
+    raises TypeError or ValueError, the batch is done row by row and only a failing row
+    gets null.
     """
     keys, inputs = list(keys), list(inputs)
-    schema = T.StructType(
-        [df.schema[k] for k in keys] + [T.StructField(name, T.DoubleType(), True)]
-    )
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(name, kind, True)])
+    dtype = "float64" if isinstance(kind, T.DoubleType) else object
 
     def run(batches):
-        scorer = make_scorer()
+        call = make()
 
         def one(row):
             try:
-                return float(next(iter(scorer(*row))))
+                return convert(next(iter(call(*row))))
             except (TypeError, ValueError):
                 return None
 
         for frame in batches:
             columns = [frame[c] for c in inputs]
             try:
-                scores = [float(s) for s in scorer(*columns)]
+                results = [convert(r) for r in call(*columns)]
             except (TypeError, ValueError):
-                scores = [one([c.iloc[i : i + 1] for c in columns]) for i in range(len(frame))]
-            scored = frame[keys].copy()
-            scored[name] = scores
-            scored[name] = scored[name].astype("float64")
-            yield scored
+                results = [one([c.iloc[i : i + 1] for c in columns]) for i in range(len(frame))]
+            done = frame[keys].copy()
+            done[name] = results
+            done[name] = done[name].astype(dtype)
+            yield done
 
     needed = list(dict.fromkeys(keys + inputs))
     return df.select(*needed).mapInPandas(run, schema)
+
+
+def batch_score(
+    df: DataFrame,
+    make_scorer: Callable[[], Callable[..., Sequence[Any]]],
+    keys: Sequence[str],
+    inputs: Sequence[str],
+    name: str = "score",
+) -> DataFrame:
+    """Keys and a ``DOUBLE`` per row from a scorer of pandas columns."""
+    return _apply(df, make_scorer, keys, inputs, name, T.DoubleType(), float)
+
+
+def batch_verdicts(
+    df: DataFrame,
+    make_judge: Callable[[], Callable[..., Sequence[Any]]],
+    key: str = "prompt_id",
+    inputs: Sequence[str] = ("prompt", "sft_answer", "ppo_answer"),
+    name: str = "verdict_raw",
+) -> DataFrame:
+    """Key and the judge's reply as text, to be parsed like replies read from a table."""
+    return _apply(df, make_judge, [key], inputs, name, T.StringType(), str)

@@ -18,7 +18,7 @@ from prefspark.storage import durable
 BROADCAST_BYTES = 32 * 1024 * 1024
 _ENTRY_BYTES = 64
 _SALTS = 16
-_RANKING_SLICES = 64
+_RANKING_SLICES = 256
 
 
 def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:

@@ -31,6 +31,15 @@ def test_dense_ordinal_with_ties_in_the_first_column(spark):
     assert [r["n"] for r in got] == list(range(1, 2_001))
 
 
+def test_dense_ordinal_with_any_text_as_key(spark):
+    keys = sorted({chr(97 + i % 26) * (i % 5) + '"\\' * (i % 3) + chr(0x1F600 + i) for i in range(400)})
+    keys += ["", "é", "\n", "\u2028x"]
+    frame = spark.createDataFrame([(k,) for k in keys], "k string").repartition(3)
+    got = dense_ordinal(frame, ["k"], "n", 20).orderBy("n").collect()
+    assert [r["k"] for r in got] == sorted(keys, key=lambda k: k.encode())
+    assert [r["n"] for r in got] == list(range(1, len(keys) + 1))
+
+
 def test_dense_ordinal_by_time(spark):
     frame = spark.range(500).withColumn("t", F.timestamp_micros((F.col("id") * 7919) % 500 * 1_000_003))
     got = dense_ordinal(frame, ["t"], "n", 40).orderBy("n").collect()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prefspark.operators import pairs as P
 from prefspark.operators.ranker import fit_pairwise_ranker, score_pairs
-from prefspark.operators.scoring import batch_score
+from prefspark.operators.scoring import batch_score, batch_verdicts
 from prefspark.operators.vectors import masked_mean_pool, mean_fill_vectors
 
 
@@ -56,6 +56,21 @@ def test_scorer_loads_once_per_task_and_failures_are_null(spark):
     assert empty.dtypes == [("id", "int"), ("score", "double")] and empty.count() == 0
 
 
+def test_a_judge_as_a_callable(spark):
+    def make_judge():
+        def judge(prompts, first, second):
+            if (first == "").any():
+                raise ValueError("nothing to compare")
+            return ["A" if len(a) > len(b) else "b" for a, b in zip(first, second)]
+
+        return judge
+
+    rows = [(1, "q", "long answer", "short"), (2, "q", "", "x"), (3, "q", "x", "longer")]
+    frame = spark.createDataFrame(rows, "prompt_id int, prompt string, sft_answer string, ppo_answer string")
+    got = {r["prompt_id"]: r["verdict_raw"] for r in batch_verdicts(frame.coalesce(1), make_judge).collect()}
+    assert got == {1: "A", 2: None, 3: "b"}
+
+
 def test_other_errors_of_a_scorer_surface(spark):
     def make_scorer():
         def scorer(texts):
