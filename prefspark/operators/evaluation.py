@@ -17,6 +17,7 @@ from prefspark.functions.judge import (
     rating_request,
 )
 from prefspark.operators.ordinals import dense_ordinal
+from prefspark.storage import durable
 
 
 def judge_requests(answers: DataFrame) -> DataFrame:
@@ -85,8 +86,12 @@ def rating_errors(judgements: DataFrame) -> DataFrame:
 
 
 def ordered_errors(judgements: DataFrame) -> DataFrame:
-    """The error list in prompt order: position and error, one row each."""
-    errors = dense_ordinal(rating_errors(judgements), ["prompt_id"], "sample")
+    """The error list in prompt order: position and error, one row each.
+
+    Numbering reads its input several times, so the narrow error rows are stored first.
+    """
+    stored = durable(rating_errors(judgements).select("prompt_id", "abs_error"))
+    errors = dense_ordinal(stored, ["prompt_id"], "sample")
     return errors.select((F.col("sample") - 1).alias("sample"), "prompt_id", "abs_error")
 
 

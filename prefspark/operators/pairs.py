@@ -27,8 +27,12 @@ def margin_losses(pairs: DataFrame, margin: float = D.MARGIN) -> DataFrame:
 def margin_loss_by_batch(
     pairs: DataFrame, margin: float = D.MARGIN, batch_size: int = D.BATCH_SIZE
 ) -> DataFrame:
-    """Mean hinge loss of each batch of pairs, batches taken in key order."""
-    batches = assign_batches(margin_losses(pairs, margin), ["pair_id"], batch_size)
+    """Mean hinge loss of each batch of pairs, batches taken in key order.
+
+    Numbering reads its input several times, so the narrow loss rows are stored first.
+    """
+    losses = durable(margin_losses(pairs, margin).select("pair_id", "loss"))
+    batches = assign_batches(losses, ["pair_id"], batch_size)
     return batches.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_pairs"), F.avg("loss").alias("loss")
     )

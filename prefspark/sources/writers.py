@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from prefspark.operators.evaluation import evaluation_summary, ordered_errors
+from prefspark.storage import durable
 
 
 def write_padded_batches(batches: DataFrame, path: str) -> None:
@@ -25,6 +26,8 @@ def write_evaluation(judgements: DataFrame, path: str) -> None:
     The error list has a line per prompt rather than one array, so that it can be of any
     length.
     """
+    columns = ["prompt_id", "verdict", "judge_score", "reward"]
+    judgements = durable(judgements.select(*columns))
     evaluation_summary(judgements).write.mode("overwrite").json(f"{path}/summary")
     errors = ordered_errors(judgements)
     errors.repartitionByRange("sample").sortWithinPartitions("sample").write.mode(
