@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,14 +18,13 @@ _DIGITS = r"\d+(?:_\d+)*"
 _NUMBER = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 
 
-def _ascii_digits(text: Column) -> Column:
-    """Decimal digits of every script as 0-9."""
+@cache
+def _digits() -> tuple[str, str]:
+    """Decimal digits outside ASCII, and the ASCII digit of each."""
     others = [
         c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"
     ]
-    return F.translate(
-        text, "".join(others), "".join(str(unicodedata.decimal(c)) for c in others)
-    )
+    return "".join(others), "".join(str(unicodedata.decimal(c)) for c in others)
 
 
 def parse_verdict(raw: Column) -> Column:
@@ -35,7 +35,7 @@ def parse_verdict(raw: Column) -> Column:
 
 def parse_rating(raw: Column) -> Column:
     """Number from 1 to 5, else null."""
-    text = _ascii_digits(strip_text(raw))
+    text = F.translate(strip_text(raw), *_digits())
     number = F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit(""))).try_cast("double")
     return F.when(number.between(1.0, 5.0), number)
 

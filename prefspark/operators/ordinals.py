@@ -130,8 +130,10 @@ def ordinal_within(
     window is safe. Otherwise the large groups, and only they, are cut into key buckets.
     """
     within = list(within)
+    # As one struct a group key is never null, so that a null group can be joined, too.
+    grouped = df.withColumn("_group", F.struct(*within))
     large = (
-        df.groupBy(*within)
+        grouped.groupBy("_group")
         .agg(F.count(F.lit(1)).alias("_size"))
         .where(F.col("_size") > rows_per_bucket)
     )
@@ -141,32 +143,29 @@ def ordinal_within(
         return df.withColumn(name, number.cast("bigint"))
 
     # There are fewer large groups than rows / rows_per_bucket: fit for a broadcast.
-    marks = F.broadcast(durable(large.select(*within, F.lit(True).alias("_large"))))
+    marks = F.broadcast(durable(large.select("_group", F.lit(True).alias("_large"))))
     key, key_type = _key(df, order_by)
     buckets = _bucket_count(df, large_rows, rows_per_bucket)
-    splits = _split_points(df.join(marks, within, "left_semi"), key, buckets, large_rows)
-    placed = (
-        df.join(marks, within, "left")
-        .withColumn(
-            "_bucket", F.when(F.col("_large"), _bucket(key, key_type, splits)).otherwise(F.lit(0))
-        )
+    in_large = grouped.join(marks, "_group", "left_semi")
+    bucket = _bucket(key, key_type, _split_points(in_large, key, buckets, large_rows))
+    placed = grouped.join(marks, "_group", "left").withColumn(
+        "_bucket", F.when(F.col("_large"), bucket).otherwise(F.lit(0))
     )
-    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_group").orderBy("_bucket")
     offsets = (
         placed.where("_large")
-        .groupBy(*within, "_bucket")
+        .groupBy("_group", "_bucket")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.sum("_rows").over(before))
+        .withColumn("_before", F.sum("_rows").over(before.rowsBetween(Window.unboundedPreceding, -1)))
         .drop("_rows")
     )
-    inside = F.row_number().over(Window.partitionBy(*within, "_bucket").orderBy(*order_by))
+    inside = F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy(*order_by))
+    number = F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))
     return (
         placed.withColumn("_inside", inside)
-        .join(offsets, [*within, "_bucket"], "left")
-        .withColumn(
-            name, (F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")
-        )
-        .drop("_bucket", "_large", "_inside", "_before")
+        .join(offsets, ["_group", "_bucket"], "left")
+        .withColumn(name, number.cast("bigint"))
+        .drop("_group", "_bucket", "_large", "_inside", "_before")
     )
 
 
