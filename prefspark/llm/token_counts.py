@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prefspark.llm.common import arrow_schema, documents_of, map_batches, slices
+from prefspark.llm.tokenization import byte_letters
 
 #: Fixed value: the pre-tokens of the byte-level tokenizer.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -35,18 +36,11 @@ COUNTS = T.StructType(
 )
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte: itself where visible, else the next free one."""
-    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = [b for b in range(256) if b not in visible]
-    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 def merge_ranks(path: str) -> tuple[dict[tuple[bytes, bytes], int], list[str]]:
     """Rank of each mergeable pair, and the special strings, of a tokenizer file."""
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
-    letters = _byte_letters()
+    letters = {letter: byte for byte, letter in byte_letters().items()}
     plain = lambda s: bytes(letters[c] for c in s)
     merges = (m if isinstance(m, list) else m.split(" ") for m in content["model"]["merges"])
     ranks = {(plain(a), plain(b)): rank for rank, (a, b) in enumerate(merges)}

@@ -7,7 +7,7 @@ Texts repeat their words, so a task looks most pieces up and asks the library fo
 from __future__ import annotations
 
 import os
-import unicodedata
+from array import array
 from operator import itemgetter
 
 import regex
@@ -32,37 +32,53 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level files: itself where visible, else the next free one."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordCoder(dict):
     """Ids, as bytes of little-endian uint32, of the space-free pieces of texts.
 
     For the word-end tokenizer, whose pre-tokens hold no white space: cutting at spaces and
-    line feeds changes nothing, and special strings hold neither. Pieces of plain Latin
-    letters are cut further into pre-tokens; all others go to the library whole.
+    line feeds changes nothing, and special strings hold neither. A word of plain Latin letters
+    with points after it is two pre-tokens, and goes to the library's model directly; such
+    letters are their own normal form. Other Latin pieces are cut into pre-tokens by pattern,
+    and all others go to the library whole.
     """
 
     def __init__(self, path: str, memory: int = MEMORY):
         super().__init__()
         self._tokenizer = load_tokenizer(path)
+        self._model = self._tokenizer.model
+        self._letters = byte_letters()
         self._memory = memory
         self._words: dict[str, bytes] = {}
 
     def _library(self, piece: str) -> bytes:
-        import numpy as np
-
-        ids = self._tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return array("I", self._tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one normalised pre-token."""
+        ids = self._words.get(word)
+        if ids is None:
+            if len(self._words) >= self._memory:
+                self._words.clear()
+            spelled = word if word.isascii() else "".join(map(self._letters.__getitem__, word.encode()))
+            ids = self._words[word] = array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes()
+        return ids
 
     def __missing__(self, piece: str) -> bytes:
-        if piece and max(piece) < "ƀ" and "<|" not in piece and unicodedata.is_normalized("NFC", piece):
-            found = []
-            for word in _WORDS.findall(piece.lower()):
-                ids = self._words.get(word)
-                if ids is None:
-                    if len(self._words) >= self._memory:
-                        self._words.clear()
-                    ids = self._words[word] = self._library(word)
-                found.append(ids)
-            ids = b"".join(found)
+        word = piece.rstrip(".,;:!?")
+        lowered = word.lower()
+        if lowered.isalpha() and max(lowered) < "ƀ" and max(word) < "ƀ":
+            ids = self._word(lowered)
+            if len(word) < len(piece):
+                ids += self._word(piece[len(word) :])
+        elif piece and max(piece) < "ƀ" and piece.isprintable() and "<|" not in piece:
+            ids = b"".join(map(self._word, _WORDS.findall(piece.lower())))
         else:
             ids = self._library(piece)
         if len(self) >= self._memory:
