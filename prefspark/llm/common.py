@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefspark.storage import durable
+
 #: Rows that are turned into Python objects at a time, so that long texts don't pile up.
 ROWS_AT_ONCE = 64
 
@@ -76,12 +78,21 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return pa.schema([(f.name, kind(f.dataType)) for f in schema.fields])
 
 
+#: Bytes, by the number of rows and their width, up to which a table is sent to every executor.
+SENT_BYTES = 16 << 20
+
+
+def sent_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, marked for a broadcast if its counted rows are few; else left to a shuffle."""
+    return F.broadcast(df) if df.limit(SENT_BYTES // row_bytes + 1).count() * row_bytes <= SENT_BYTES else df
+
+
 def without(docs: DataFrame, rejected: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose key is among ``rejected``.
 
     A null key is a key like any other, and rows that share a key share its fate.
     """
-    gone = rejected.select(F.col(key).alias("_gone")).distinct()
+    gone = sent_if_small(durable(rejected.select(F.col(key).alias("_gone")).distinct()), 16)
     return docs.join(gone, docs[key].eqNullSafe(gone["_gone"]), "left_anti")
 
 

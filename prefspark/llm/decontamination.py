@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefspark.llm.common import arrow_schema, documents_of, first_row_id, map_batches, slices
+from prefspark.llm.common import arrow_schema, documents_of, first_row_id, map_batches, sent_if_small, slices
 from prefspark.storage import durable
 
 #: Consecutive test words that make a phrase.
@@ -142,8 +142,12 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataF
         .where(F.size("plan") == F.col("n"))
     )
     plans = durable(plans)
+
+    def terms_of(ranks: DataFrame) -> DataFrame:
+        return sent_if_small(durable(ranks.select("term").distinct()), 64)
+
     rarest = plans.select("phrase", "n", F.col("plan")[0]["term"].alias("term"), F.col("plan")[0]["off"].alias("off"))
-    lists = postings.join(rarest.select("term").distinct(), "term", "left_semi")
+    lists = postings.join(terms_of(rarest), "term", "left_semi")
     starts = (
         lists.join(rarest, "term")
         .select("row_id", "phrase", "n", F.explode("positions").alias("pos"), "off")
@@ -156,9 +160,8 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataF
     def intersect(candidates: DataFrame, ranks: DataFrame) -> DataFrame:
         """Candidates whose given terms all stand where the phrase has them."""
         asked = candidates.join(ranks, "phrase")
-        held = postings.join(candidates.select("row_id").distinct(), "row_id", "left_semi").join(
-            ranks.select("term").distinct(), "term", "left_semi"
-        )
+        rows = sent_if_small(durable(candidates.select("row_id").distinct()), 16)
+        held = postings.join(terms_of(ranks), "term", "left_semi").join(rows, "row_id", "left_semi")
         met = asked.join(held, ["row_id", "term"]).where(_near(F.col("positions"), F.col("start") + F.col("off"), slop))
         counted = met.groupBy("row_id", "phrase", "n", "start", "asked").agg(F.count(F.lit(1)).alias("met"))
         return counted.where(F.col("met") == F.col("asked")).select("row_id", "phrase", "n", "start")
