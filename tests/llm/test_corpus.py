@@ -200,11 +200,11 @@ def test_sketches_estimate_high_similarities():
 
 def test_line_frequency(spark):
     rnd = random.Random(6)
-    line = "Subscribe to our letter number {} for more news every day and never miss a thing again"
-    page = " ".join(line.format(7) for _ in range(1))
+    line = "Subscribe to our letter number {} for more news every day and never miss a thing again so please tell all of your friends about it"
+    page = line.format(7)
     own = lambda n: sentence(rnd, n)
     docs = [(i, f"{page}\n{own(30)}", "a") for i in range(30)]
-    docs += [(100 + i, f"{line.format(i)}\n{page}\n{page} \n{own(4)}", "a") for i in range(5)]
+    docs += [(100 + i, f"{line.format(i)} \n{own(4)}", "a") for i in range(5)]
     docs += [(200 + i, f"{page}\n{own(3)} {own(3)}", "b") for i in range(5)]
     docs += [(300, None, None), (301, "", "a"), (None, f"{own(25)}", None), (302, own(5), "a")]
     docs += [(400, f"{own(40)}", "a")] * 40  # exact copies are one document
