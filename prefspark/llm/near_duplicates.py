@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefspark.llm.common import arrow_schema, documents_of, first_row_id, map_batches, slices
+from prefspark.llm.common import arrow_schema, documents_of, first_row_id, map_batches, sent_if_small, slices
 from prefspark.storage import durable
 
 ROWS = 7
@@ -34,7 +34,9 @@ SKETCH_BITS = 512
 MARGIN = 0.16
 #: Words whose hashes a Python worker remembers; on reaching it, the memory starts anew.
 MEMORY = 600_000
-PIVOT_ROUNDS = 3
+#: Bands whose pivots are tried first; the others only see what those leave open.
+FIRST_BANDS = 6
+PIVOT_ROUNDS = 1
 
 SIGNATURES = T.StructType(
     [
@@ -164,7 +166,7 @@ def _sets_of(docs: DataFrame, active: DataFrame, size: int) -> DataFrame:
             yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(found, schema.field(1).type)], schema=schema)
 
     texts = documents_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    wanted = active.select("node", "class_doc", "set_hash")
+    wanted = sent_if_small(durable(active.select("node", "class_doc", "set_hash")), 64)
     joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["class_doc"])).select("node", "set_hash", "text")
     return durable(map_batches(joined, shingle, SETS))
 
@@ -236,9 +238,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity_pct: int = 80) ->
 def _labels(docs: DataFrame, signed: DataFrame, classes: DataFrame, size: int, similarity_pct: int) -> DataFrame:
     """``node, label`` of the classes that are linked with another one."""
     nodes = signed.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
-    banded = nodes.select(F.col("row_id").alias("node"), F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("_last <> pivot")
-    buckets = durable(banded.join(shared.select("key", "pivot"), "key"))
+    banded = nodes.select(F.col("row_id").alias("node"), F.posexplode("keys").alias("band", "key"))
+    shared = banded.groupBy("band", "key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("_last <> pivot")
+    buckets = durable(banded.join(shared.select("band", "key", "pivot"), ["band", "key"]))
 
     sketches = signed.select(F.col("row_id").alias("node"), F.col("n_shingles").alias("n"), "sketch")
     sketches = durable(sketches.join(buckets.select("node").distinct(), "node", "left_semi"))
@@ -248,14 +250,12 @@ def _labels(docs: DataFrame, signed: DataFrame, classes: DataFrame, size: int, s
         a, b = (sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
         return durable(pairs.distinct().join(b, "b").join(a, "a").where(_alike(similarity_pct)).select("a", "b"))
 
-    pairs = proposed(buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    pairs = proposed(buckets.where((F.col("band") < FIRST_BANDS) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
     # Any class that may ever be confirmed shares a bucket, but not all of those have a likely partner.
     active = classes.join(sketches.select("node"), "node", "left_semi")
     sets = _sets_of(docs, active, size)
     links = durable(_confirmed(pairs, sets, similarity_pct))
     labels = components(links)
-    if buckets.isEmpty():
-        return labels
     for turn in range(PIVOT_ROUNDS + 1):
         found = buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
         groups = durable(found.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("one")))
@@ -268,7 +268,7 @@ def _labels(docs: DataFrame, signed: DataFrame, classes: DataFrame, size: int, s
         total = mixed.agg(F.sum("open").alias("open"), F.sum("members").alias("members")).first()
         if not total.open:
             break
-        found = found.join(mixed.select("key", "largest"), "key")
+        found = durable(found.join(mixed.select("key", "largest"), "key"))
         last = turn == PIVOT_ROUNDS or total.open <= 4 * total.members
         if last:
             rows = found.select("key", "node", "label").join(sketches, "node")
@@ -284,4 +284,5 @@ def _labels(docs: DataFrame, signed: DataFrame, classes: DataFrame, size: int, s
             labels = components(links)
         if last:
             break
+        buckets = found.select("key", "node")  # only open buckets are looked at again
     return labels
