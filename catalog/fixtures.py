@@ -10,7 +10,7 @@ from prefspark.operators.ordinals import ordinal_within
 from prefspark.operators.vocabulary import build_vocabulary
 from prefspark.storage import durable
 
-VOCABULARY_SIZE = 1000
+VOCABULARY_SIZE = None  # all words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

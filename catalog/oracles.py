@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.fixtures import VOCABULARY_SIZE
-from catalog.queries import STOP_EVERY
+from catalog.queries import STOP_BELOW, STOP_EVERY
 from prefspark import defaults as D
 
 _WORDS = r"'[ \t\n\x0B\f\r]+'"
@@ -241,7 +240,7 @@ _SCORED = _ROLLOUTS + f""", rewarded AS (
 )"""
 _LATE = _ROLLOUTS + """, generated AS (
   SELECT rollout_id, count(*) AS n_tokens,
-         count(*) FILTER (WHERE pos >= 40 + rollout_id % 60) AS n_generated
+         count(*) FILTER (WHERE pos >= 40 + rollout_id % 60 - 1) AS n_generated
   FROM rollouts GROUP BY rollout_id
 )"""
 _POLICY = _r6("-avg(surrogate)")
@@ -331,7 +330,7 @@ vocabulary AS (
   SELECT token, (5 + row_number() OVER (ORDER BY n DESC, token))::INTEGER AS id, n, FALSE AS special
   FROM (
     SELECT token, count(*) AS n FROM (SELECT unnest({_words('text')}) AS token FROM documents)
-    WHERE token NOT IN ({_SPECIALS}) GROUP BY token ORDER BY n DESC, token LIMIT {VOCABULARY_SIZE}
+    WHERE token NOT IN ({_SPECIALS}) GROUP BY token 
   )
   UNION ALL
   SELECT * FROM (VALUES {", ".join(f"('{t}', {i}::INTEGER, 0::BIGINT, TRUE)" for i, t in enumerate(D.SPECIAL_TOKENS))})
@@ -422,7 +421,7 @@ FROM documents d LEFT JOIN known k ON k.doc_id = d.doc_id""",
         _DOC_IDS,
         f"""stopped AS (
   SELECT doc_id, ids, greatest(0, least(128, 1024 - (870 + doc_id % 160))) AS room,
-         list_position(list_transform(ids, lambda x: x % {STOP_EVERY} = 0 AND x > 0), TRUE) AS hit
+         list_position(list_transform(ids, lambda x: x % {STOP_EVERY} = 0 AND x > 0 AND x < {STOP_BELOW}), TRUE) AS hit
   FROM coded)""",
         f"""kept AS (
   SELECT doc_id, ids[1:CASE WHEN hit > 0 THEN least(hit, room) ELSE room END] AS ids FROM stopped)""",

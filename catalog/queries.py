@@ -33,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 STOP_EVERY = 97
+STOP_BELOW = 1000
 LINEAR_WEIGHTS = [((i * 7) % 11 - 5) / 10 for i in range(64)]
 
 
@@ -397,7 +398,7 @@ def decode_tokens(spark, sf):
 @query
 def truncate_at_stop(spark, sf):
     coded = _encoded_documents(spark, sf, X.vocabulary(spark, sf))
-    stops = list(range(STOP_EVERY, X.VOCABULARY_SIZE + len(D.SPECIAL_TOKENS), STOP_EVERY))
+    stops = list(range(STOP_EVERY, STOP_BELOW, STOP_EVERY))
     cut = coded.withColumn("prompt_length", F.expr("870 + doc_id % 160")).select(
         "doc_id", cut_at_stop(F.col("ids"), F.col("prompt_length"), stops).alias("ids")
     )

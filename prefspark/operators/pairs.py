@@ -43,20 +43,21 @@ def encode_pair_batches(
 ) -> DataFrame:
     """Truncate ``(prompt_ids, answer_ids)`` together and pad them to the widest of a batch.
 
-    Row layout: cls, prompt, sep, sep, answer, sep.
+    Row layout: cls, prompt, sep, sep, answer, sep. A stored row has a number of its own, so
+    equal or null keys neither multiply nor lose rows.
     """
     prompt, answer = truncate_pair(F.col("prompt_ids"), F.col("answer_ids"), max_length)
     cut = pairs.select("pair_id", prompt.alias("prompt_ids"), answer.alias("answer_ids"))
     length = F.size("prompt_ids") + F.size("answer_ids") + F.lit(4)
-    rows = durable(cut.withColumn("length", length))
+    rows = durable(cut.withColumn("length", length).withColumn("_row", F.monotonically_increasing_id()))
     width = F.max("length").over(Window.partitionBy("batch_id"))
-    batches = assign_batches(rows.select("pair_id", "length"), ["pair_id"], batch_size)
-    batches = batches.withColumn("width", width).drop("length")
+    batches = assign_batches(rows.select("pair_id", "_row", "length"), ["pair_id", "_row"], batch_size)
+    batches = batches.withColumn("width", width).drop("length", "pair_id")
     cls, sep = F.lit(D.SPECIAL_TOKENS.index(D.CLS)), F.lit(D.SPECIAL_TOKENS.index(D.SEP))
     ids = F.concat(
         F.array(cls), "prompt_ids", F.array(sep, sep), "answer_ids", F.array(sep)
     )
-    return rows.join(batches, "pair_id").select(
+    return rows.join(batches, "_row").select(
         "batch_id",
         "pair_id",
         F.size("prompt_ids").alias("prompt_length"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.functions.messages import final_response, response_problem
@@ -32,16 +32,22 @@ def preference_examples(df: DataFrame, *, strict: bool = False) -> DataFrame:
         failure = F.raise_error(
             F.concat(F.lit("preference row is not usable: "), F.col("reason"))
         ).cast("string")
-        # The check guards a column that is read, so that pruning cannot drop it.
-        prompt = F.when(F.col("reason").isNull(), F.col("prompt").cast("string")).otherwise(failure)
+
+        # The check guards every column that is read, so that pruning cannot drop it.
+        def guarded(value: Column) -> Column:
+            return F.when(F.col("reason").isNull(), value).otherwise(failure)
+
     else:
         checked = checked.where(F.col("reason").isNull())
-        prompt = F.col("prompt").cast("string")
+
+        def guarded(value: Column) -> Column:
+            return value
+
     return checked.withColumns(
         {
-            "prompt": prompt,
-            "chosen": final_response(F.col("chosen"), chosen),
-            "rejected": final_response(F.col("rejected"), rejected),
+            "prompt": guarded(F.col("prompt").cast("string")),
+            "chosen": guarded(final_response(F.col("chosen"), chosen)),
+            "rejected": guarded(final_response(F.col("rejected"), rejected)),
         }
     ).drop("reason")
 

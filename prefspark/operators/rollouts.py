@@ -5,6 +5,9 @@ shuffle by rollout serves all of them. A longer rollout may be a large share of
 If there is one, windows run over segments of ``SEGMENT_TOKENS`` positions, and what a
 segment needs from the rest of its rollout, a handful of numbers, comes from a table with
 one row per segment. Positions count from 0 without gaps.
+
+A row holds the statistics with which the token *after* it was chosen, so a sequence of ``L``
+tokens has ``L - 1`` rows, and the response's rows start at ``prompt_length - 1``.
 """
 
 from __future__ import annotations
@@ -40,10 +43,10 @@ def response_tokens(tokens: DataFrame) -> DataFrame:
 
 
 def generated_counts(tokens: DataFrame) -> DataFrame:
-    """Tokens in all and tokens after the prompt, per rollout."""
+    """Rows in all and rows of generated tokens, as in :func:`response_tokens`, per rollout."""
     return tokens.groupBy("rollout_id").agg(
         F.count(F.lit(1)).alias("n_tokens"),
-        F.count_if(F.col("pos") >= F.col("prompt_length")).alias("n_generated"),
+        F.count_if(F.col("pos") >= F.col("prompt_length") - 1).alias("n_generated"),
     )
 
 

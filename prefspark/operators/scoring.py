@@ -22,8 +22,8 @@ def _apply(
 
     ``make`` runs once per task, so a model is loaded once and never sent with the rows.
     The callable gets one pandas column per input and returns as many results. If it
-    raises TypeError or ValueError, the batch is done row by row and only a failing row
-    gets null.
+    raises TypeError or ValueError, the batch is halved until the failing rows are alone, and
+    only those get null. A result that can't be converted is null without another call.
     """
     keys, inputs = list(keys), list(inputs)
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(name, kind, True)])
@@ -32,18 +32,24 @@ def _apply(
     def run(batches):
         call = make()
 
-        def one(row):
+        def converted(value):
             try:
-                return convert(next(iter(call(*row))))
+                return convert(value)
             except (TypeError, ValueError):
                 return None
 
-        for frame in batches:
-            columns = [frame[c] for c in inputs]
+        def results_of(columns, first, last):
             try:
-                results = [convert(r) for r in call(*columns)]
+                return [converted(r) for r in call(*(c.iloc[first:last] for c in columns))]
             except (TypeError, ValueError):
-                results = [one([c.iloc[i : i + 1] for c in columns]) for i in range(len(frame))]
+                if last - first <= 1:
+                    return [None] * (last - first)
+                middle = (first + last) // 2
+                return results_of(columns, first, middle) + results_of(columns, middle, last)
+
+        for frame in batches:
+            columns = [frame[c] for c in inputs]
+            results = results_of(columns, 0, len(frame))
             done = frame[keys].copy()
             done[name] = results
             done[name] = done[name].astype(dtype)

@@ -48,12 +48,14 @@ def padded_batches(labelled: DataFrame, batch_size: int = D.BATCH_SIZE) -> DataF
     Batch number and width need only the key and the length of a row, so the arrays
     themselves are moved once, by the join at the end. The rows are stored first: texts
     are read and coded once, although lengths and arrays are used at different points.
+    A stored row has a number of its own, so equal or null keys neither multiply nor lose rows.
     """
-    rows = durable(labelled.withColumn("length", F.size("input_ids")))
-    batches = assign_batches(rows.select("pair_id", "length"), ["pair_id"], batch_size)
+    numbered = labelled.withColumn("_row", F.monotonically_increasing_id())
+    rows = durable(numbered.withColumn("length", F.size("input_ids")))
+    batches = assign_batches(rows.select("pair_id", "_row", "length"), ["pair_id", "_row"], batch_size)
     width = F.max("length").over(Window.partitionBy("batch_id"))
-    batches = batches.withColumn("width", width).drop("length")
-    return rows.join(batches, "pair_id").select(
+    batches = batches.withColumn("width", width).drop("length", "pair_id")
+    return rows.join(batches, "_row").select(
         "batch_id",
         "ordinal",
         "pair_id",

@@ -1,6 +1,6 @@
 """A corpus dictionary, and coding texts with it.
 
-The dictionary is capped at ``size`` entries, as a model's vocabulary is. Its bytes are
+The dictionary holds all words, or the ``size`` most frequent ones. Its bytes are
 measured; up to ``BROADCAST_BYTES`` each task gets all of it and no token is shuffled.
 Above that, tokens are joined to it by a shuffle.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from prefspark import defaults as D
 from prefspark.functions.text import strip_text
 from prefspark.functions.tokens import split_tokens
+from prefspark.operators.ordinals import dense_ordinal
 from prefspark.storage import durable
 
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -21,23 +22,34 @@ _SALTS = 16
 _RANKING_SLICES = 256
 
 
-def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
-    """Ids for the special tokens and for the ``size`` most frequent words of a corpus.
+def build_vocabulary(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
+    """Ids for the special tokens and for all words of a corpus, or its ``size`` most frequent.
 
     Words are counted before the shuffle. The best ``size`` are taken in every slice of
     the distinct words and then among those, so that no task sees all distinct words. The
     result is stored: it is small and every coding step reads it.
     """
-    if size < 1:
+    if size is not None and size < 1:
         raise ValueError("size must be at least 1")
     best = [F.desc("n"), F.col("token")]
-    in_slice = Window.partitionBy(F.pmod(F.hash("token"), F.lit(_RANKING_SLICES))).orderBy(*best)
-    ranked = (
+    counts = (
         df.select(F.explode(split_tokens(F.col(text))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(~F.col("token").isin(*D.SPECIAL_TOKENS))
-        .withColumn("_place", F.row_number().over(in_slice))
+    )
+    specials = (
+        df.sparkSession.range(1)
+        .select(F.posexplode(F.lit(list(D.SPECIAL_TOKENS))).alias("id", "token"))
+        .select("token", "id", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("special"))
+    )
+    if size is None:
+        numbered = dense_ordinal(durable(counts.withColumn("_rarity", -F.col("n"))), ["_rarity", "token"])
+        ids = (F.col("ordinal") + (len(D.SPECIAL_TOKENS) - 1)).cast("int")
+        return durable(specials.unionByName(numbered.select("token", ids.alias("id"), "n", F.lit(False).alias("special"))))
+    in_slice = Window.partitionBy(F.pmod(F.hash("token"), F.lit(_RANKING_SLICES))).orderBy(*best)
+    ranked = (
+        counts.withColumn("_place", F.row_number().over(in_slice))
         .where(F.col("_place") <= size)
         .orderBy(*best)
         .limit(size)
@@ -49,11 +61,6 @@ def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
         "n",
         F.lit(False).alias("special"),
     )
-    specials = (
-        df.sparkSession.range(1)
-        .select(F.posexplode(F.lit(list(D.SPECIAL_TOKENS))).alias("id", "token"))
-        .select("token", "id", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("special"))
-    )
     return durable(specials.unionByName(words))
 
 
@@ -119,6 +126,10 @@ def encode_tokens(
     ).drop("_maps")
 
 
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("_row", "_pos"), F.lit(_SALTS)).cast("int")
+
+
 def _salted(vocabulary: DataFrame) -> DataFrame:
     """The dictionary once per salt, under names no caller's column has."""
     return vocabulary.select(
@@ -131,19 +142,21 @@ def _salted(vocabulary: DataFrame) -> DataFrame:
 def _encode_by_join(
     df: DataFrame, text: str, ids: str, vocabulary: DataFrame, key: str
 ) -> DataFrame:
-    """Same result with a shuffle join, frequent tokens spread over salts by position."""
-    tokens = df.select(
-        key, F.posexplode(split_tokens(F.col(text))).alias("_pos", "_token")
-    ).withColumn("_salt", F.col("_pos") % _SALTS)
+    """Same result with a shuffle join, frequent tokens spread over salts by row and position.
+
+    Rows are stored with a number of their own: ``key`` may be null or shared by rows.
+    """
+    df = durable(df.withColumn("_row", F.monotonically_increasing_id()))
+    tokens = df.select("_row", F.posexplode(split_tokens(F.col(text))).alias("_pos", "_token")).withColumn("_salt", _salt())
     place = F.struct("_pos", F.coalesce("_id", F.lit(D.UNK_ID)).alias("_id"))
     coded = (
         tokens.join(_salted(vocabulary), ["_token", "_salt"], "left")
-        .groupBy(key)
+        .groupBy("_row")
         .agg(F.array_sort(F.collect_list(place)).alias("_coded"))
-        .select(key, F.transform("_coded", lambda c: c.getField("_id")).alias(ids))
+        .select("_row", F.transform("_coded", lambda c: c.getField("_id")).alias(ids))
     )
     known = F.when(F.col(text).isNotNull(), F.coalesce(ids, F.array().cast("array<int>")))
-    return df.join(coded, key, "left").withColumn(ids, known)
+    return df.join(coded, "_row", "left").withColumn(ids, known).drop("_row")
 
 
 def decode_tokens(
@@ -155,17 +168,16 @@ def decode_tokens(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the text of an id array, without special tokens, stripped; ``''`` if none is left."""
-    _, size = _entries_and_bytes(vocabulary)
-    if size > broadcast_bytes:
+    entries, size = _entries_and_bytes(vocabulary)
+    places = (vocabulary.agg(F.max("id")).first()[0] or 0) + 1
+    if size > broadcast_bytes or places > 2 * entries:
         return _decode_by_join(df, ids, text, vocabulary, key)
-    # Position in the array is the id; special tokens are null there.
-    ordered = F.array_sort(
-        F.collect_list(
-            F.struct("id", F.when(~F.col("special"), F.col("token")).alias("token"))
-        )
-    )
+    # Position in the array is the id; special tokens and ids that nothing has are null there.
+    named = vocabulary.select("id", F.when(~F.col("special"), F.col("token")).alias("token"))
+    all_ids = vocabulary.sparkSession.range(places).select(F.col("id").cast("int").alias("id"))
+    ordered = F.array_sort(F.collect_list(F.struct("id", "token")))
     words = (
-        vocabulary.agg(ordered.alias("w"))
+        all_ids.join(named, "id", "left").agg(ordered.alias("w"))
         .select(F.transform("w", lambda w: w.getField("token")))
         .scalar()
     )
@@ -177,14 +189,17 @@ def _decode_by_join(
     df: DataFrame, ids: str, text: str, vocabulary: DataFrame, key: str
 ) -> DataFrame:
     words = F.transform("_words", lambda w: w.getField("_token"))
+    df = durable(df.withColumn("_row", F.monotonically_increasing_id()))
     decoded = (
-        df.select(key, F.posexplode(ids).alias("_pos", "_id"))
-        .withColumn("_salt", F.col("_pos") % _SALTS)
+        df.select("_row", F.posexplode(ids).alias("_pos", "_id"))
+        .withColumn("_salt", _salt())
         .join(_salted(vocabulary.where(~F.col("special"))), ["_id", "_salt"])
-        .groupBy(key)
+        .groupBy("_row")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_token"))).alias("_words"))
-        .select(key, strip_text(F.array_join(words, " ")).alias(text))
+        .select("_row", strip_text(F.array_join(words, " ")).alias(text))
     )
-    return df.join(decoded, key, "left").withColumn(
-        text, F.when(F.col(ids).isNotNull(), F.coalesce(text, F.lit("")))
+    return (
+        df.join(decoded, "_row", "left")
+        .withColumn(text, F.when(F.col(ids).isNotNull(), F.coalesce(text, F.lit(""))))
+        .drop("_row")
     )

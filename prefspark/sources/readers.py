@@ -13,7 +13,7 @@ from prefspark.operators.preferences import first_rows
 def read_preferences(
     spark: SparkSession, path: str, key: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Prompt, chosen and rejected of a Parquet table, with its key column if it has one.
+    """Prompt, chosen and rejected of a Parquet table, with its key as ``pair_id`` if it has one.
 
     A limit needs the key: the first rows of a table are defined only in some order.
     """
@@ -22,7 +22,7 @@ def read_preferences(
         if limit is not None:
             raise ValueError("a limit needs a key column to order by")
         return spark.read.parquet(path).select(*columns)
-    return first_rows(spark.read.parquet(path).select(key, *columns), key, limit)
+    return first_rows(spark.read.parquet(path).select(F.col(key).alias("pair_id"), *columns), "pair_id", limit)
 
 
 def evaluation_prompts(
@@ -47,10 +47,17 @@ def read_prompts(
     key: str = "prompt_id",
     column: str = D.PROMPT_COLUMN,
     limit: int | None = None,
+    *,
+    csv: bool | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Prompts from a Parquet table or from CSV with a header."""
-    if path.rstrip("/").endswith(".csv"):
-        sheet = spark.read.csv(path, header=True, multiLine=True, escape='"').withColumn(
+    """Prompts from a Parquet table or from CSV with a header.
+
+    ``csv`` says which; by default the ending of the path does. Prompts with line breaks need
+    ``multi_line``, and then a file is read by one task.
+    """
+    if path.rstrip("/").endswith(".csv") if csv is None else csv:
+        sheet = spark.read.csv(path, header=True, multiLine=multi_line, escape='"').withColumn(
             key, F.col(key).cast("bigint")
         )
     else:

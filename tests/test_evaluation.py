@@ -105,9 +105,9 @@ def test_prompt_readers(spark, tmp_path):
     sheet.write.parquet(str(tmp_path / "sheet"))
     sheet.write.csv(str(tmp_path / "sheet.csv"), header=True, escape='"')
     for name in ("sheet", "sheet.csv"):
-        rows = readers.read_prompts(spark, str(tmp_path / name)).orderBy("prompt_id").collect()
+        rows = readers.read_prompts(spark, str(tmp_path / name), multi_line=True).orderBy("prompt_id").collect()
         assert [tuple(r) for r in rows] == [(2, 'b "q"'), (3, "c\nx")]
-        limited = readers.read_prompts(spark, str(tmp_path / name), limit=1).collect()
+        limited = readers.read_prompts(spark, str(tmp_path / name), limit=1, multi_line=True).collect()
         assert [r["prompt_id"] for r in limited] == [2]
     numbers = spark.createDataFrame([(1, 1.5), (2, float("nan")), (3, None)], "prompt_id int, Prompts double")
     assert [tuple(r) for r in readers.evaluation_prompts(numbers).collect()] == [(1, "1.5")]

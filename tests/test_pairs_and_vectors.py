@@ -42,9 +42,8 @@ def test_scorer_loads_once_per_task_and_failures_are_null(spark):
             loads.append(1)
             if (texts == "bad").any():
                 raise ValueError("refused")
-            if (texts == "odd").any():
-                return [None] * len(texts)
-            return texts.str.len() * factors
+            values = texts.str.len() * factors
+            return [None if t == "odd" else v for t, v in zip(texts, values)]
 
         return scorer
 

@@ -9,6 +9,8 @@ from contextlib import redirect_stdout
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 from parity import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -32,10 +34,11 @@ def test_entry(spark):
 
 
 def test_every_query_is_checked():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - ROWS_ONLY
+    assert set(ORACLES) == set(QUERIES) - ROWS_ONLY
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, connection, name):
     frame = entry.queries()[name](spark, SF)
     assert differences(frame, connection, entry.oracle_sql()[name]) is None
@@ -45,7 +48,7 @@ def test_query_equals_sql(spark, connection, name):
     assert bool(python) == (name == "batch_score")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - ROWS_ONLY))
 def test_single_tasks_get_aggregates_only(spark, name):
     text = io.StringIO()
     with redirect_stdout(text):

@@ -118,5 +118,7 @@ def test_missing_partners_and_empty_responses(spark):
     reference = spark.createDataFrame([(1, 0, -2.0)], "rollout_id int, pos int, ref_lp double")
     assert [tuple(r) for r in R.align_reference(policy, reference).collect()] == [(1, 0, -1.0, -2.0)]
     assert [r["pos"] for r in R.unmatched_tokens(policy, reference).collect()] == [1]
-    lengths = policy.withColumn("prompt_length", F.lit(2))
-    assert tuple(R.generated_counts(lengths).first()) == (1, 2, 0)
+    for prompt_length, generated in ((1, 2), (2, 1), (3, 0)):
+        lengths = policy.withColumn("prompt_length", F.lit(prompt_length))
+        assert tuple(R.generated_counts(lengths).first()) == (1, 2, generated)
+        assert R.response_tokens(lengths).count() == generated

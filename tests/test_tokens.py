@@ -179,3 +179,25 @@ def test_cross_entropy(spark):
     got = {r["b"]: r for r in S.response_cross_entropy(frame, "b", "label", "lp").collect()}
     assert (got[0]["n_supervised"], got[0]["loss"]) == (2, 2.0)
     assert got[1]["n_supervised"] == 0 and got[1]["loss"] != got[1]["loss"]
+
+
+def test_both_paths_agree_on_odd_rows(spark):
+    """Null and repeated keys, ids with gaps and texts that start alike, looked up and joined."""
+    rows = [(None, "a b"), (1, "a b"), (1, "c c"), (2, ""), (3, None)] + [(i, "[CLS] a zzz") for i in range(10, 60)]
+    frame = spark.createDataFrame(rows, "k long, text string")
+    words = V.build_vocabulary(spark.createDataFrame([("a b c d a",)], "text string"), "text").where("token <> 'c'")
+    coded = [
+        V.encode_tokens(frame, {"text": "ids"}, words, "k", broadcast_bytes=b).select("k", "text", "ids") for b in (0, 1 << 25)
+    ]
+    plain = lambda f: sorted(map(str, f.collect()))
+    assert plain(coded[0]) == plain(coded[1]) and coded[0].count() == len(rows)
+    ids = frame.select("k").withColumn("ids", F.array(F.lit(6), F.lit(7), F.lit(8), F.lit(9)))
+    decoded = [V.decode_tokens(ids, "ids", "back", words, "k", broadcast_bytes=b) for b in (0, 1 << 25)]
+    assert plain(decoded[0]) == plain(decoded[1]) and decoded[0].count() == len(rows)
+
+
+def test_batches_neither_lose_nor_double_rows(spark):
+    labelled = spark.createDataFrame([(1, [5], [5]), (1, [6, 7], [6, 7]), (2, [8], [8]), (None, [9], [9])], "pair_id long, input_ids array<int>, labels array<int>")
+    rows = S.padded_batches(labelled, 2).collect()
+    assert sorted(r.ordinal for r in rows) == [1, 2, 3, 4]
+    assert sorted(x for r in rows for x, m in zip(r.input_ids, r.attention_mask) if m) == [5, 6, 7, 8, 9]
