@@ -177,6 +177,18 @@ def test_components_of_a_chain(spark):
     assert labels == {**dict.fromkeys(range(51), 0), 100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("count", [1, 40, 400, 5000])
+def test_set_sketches_lose_no_link(count):
+    """The bitmaps' XOR never counts more than the shingles that only one of the sets has."""
+    draw = np.random.default_rng(count)
+    for apart in (0, 1, count // 20, count // 9, count):
+        both, only_a, only_b = np.split(draw.integers(1, 1 << 63, count + 2 * apart, np.uint64), [count, count + apart])
+        a, b = (near_duplicates.set_sketch(np.r_[both, own]) for own in (only_a, only_b))
+        odd = int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+        assert odd <= 2 * apart and odd % 2 == 0
+        assert count > 400 or apart == count or odd >= 0.8 * 2 * apart
+
+
 def test_sketches_estimate_high_similarities():
     rng = np.random.default_rng(1)
     for similarity in (0.8, 0.9, 0.5):
