@@ -103,19 +103,36 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, offsets.astype(np.uint32)
 
 
+#: For values of up to 16 bits: the first width that holds the value.
+_NEED = np.searchsorted(1 << np.array(WIDTHS, np.uint64), np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
+
+
 def _choices(grid: np.ndarray) -> np.ndarray:
-    """The best selector for a word that starts at each place: ``choice[place, block]``."""
-    need = np.searchsorted(1 << np.array(WIDTHS, np.uint64), grid.T.ravel(), "right")
-    need = need.astype(np.uint8).reshape(grid.shape[::-1])
-    choice = np.full(need.shape, ESCAPE, np.uint8)
+    """The best selector for a word that starts at each place: ``choice[place, block]``.
+
+    A selector fits where the widest of its values fits. The maxima over windows of each
+    length come from those of shorter windows, for all places at once.
+    """
+    places = grid.shape[1]
+    values = grid.T
+    if grid.max() < len(_NEED):
+        own = _NEED[values]
+    else:
+        own = np.searchsorted(1 << np.array(WIDTHS, np.uint64), values.ravel(), "right").astype(np.uint8).reshape(values.shape)
+    need = np.zeros((places + max(COUNTS), grid.shape[0]), np.uint8)  # places after the block are free
+    need[:places] = own
+    choice = np.full(own.shape, ESCAPE, np.uint8)
+    widest, length = need, 1
     for s in range(len(COUNTS) - 1, -1, -1):
-        fits = need <= s
+        while length < COUNTS[s]:
+            step = min(length, COUNTS[s] - length)
+            shifted = np.zeros_like(widest)
+            shifted[:-step] = widest[step:]
+            widest, length = np.maximum(widest, shifted), length + step
+        fits = widest[:places] <= s
         if not fits.any():
             break  # still narrower words fit even less
-        run = np.full(need.shape[1], max(COUNTS), np.uint8)  # places after the block are free
-        for place in range(BLOCK - 1, -1, -1):
-            run = np.minimum(run + np.uint8(1), np.uint8(max(COUNTS))) * fits[place]
-            choice[place][run >= COUNTS[s]] = s
+        choice[fits] = s
     return choice
 
 
