@@ -14,14 +14,19 @@ from prefspark.llm.common import without
 from prefspark.llm.decontamination import contamination
 from prefspark.llm.near_duplicates import near_duplicates
 from prefspark.llm.pii import redact_personal_data
-from prefspark.llm.quality_rules import quality_rules
+from prefspark.llm.quality_rules import cleaned_documents
 from prefspark.llm.queries import packed_digests
 from prefspark.storage import durable
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars``, if there is one, counts the text."""
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")) if "n_chars" in docs.columns else docs
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return without(docs, quality_rules(docs).where("not kept"))
+    """Documents that the quality rules keep, without the frequent lines; ``n_chars`` counts the new text."""
+    return _counted(cleaned_documents(docs).where("_rules.kept").drop("_rules"))
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +42,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in them replaced; ``n_chars`` counts the new text."""
-    clean = redact_personal_data(docs)
-    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")) if "n_chars" in docs.columns else clean
+    return _counted(redact_personal_data(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,9 +31,13 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, _SPACE), lambda w: w != "")
 
 
+def _has_word(line: Column) -> Column:
+    return F.rlike(line, F.lit(r"[^ \t-\r]"))
+
+
 def _lines(text: Column) -> Column:
     """Lines that have a word."""
-    return F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^ \t-\r]")))
+    return F.filter(F.split(text, "\n"), _has_word)
 
 
 def _shifted(values: Column, by: int) -> Column:
@@ -102,31 +106,45 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]+", "0"), _SPACE, " "))
 
 
-def quality_rules(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: int = LEAST_LEFT, host: str = "source") -> DataFrame:
-    """One row per document with the base counts, ``n_left_words``, ``base_failed`` and ``kept``.
+def _without_lines(text: Column, places: Column) -> Column:
+    """The text without the lines at ``places``, counted from 0."""
+    return let(
+        F.split(text, "\n"),
+        lambda x: F.array_join(
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), places), lambda i: x[i]), "\n"
+        ),
+    )
 
-    A host is a value of the ``host`` column; null is a host of its own. Exact copies of a
-    text count as one document of a host, so a copied document isn't taken for boilerplate.
-    The first document of a frequent line, by ``doc_id``, keeps it: of a page that a host
-    repeats with small changes, one stays. A null text is empty and fails the base rules.
-    Repeated rows have a row each with equal results. Null ids come last when the first
-    document of a line is sought. Other columns are not read.
-    """
+
+def _ruled(docs: DataFrame, line_limit: int, least_left: int, host: str, carried: list[str]) -> DataFrame:
+    """``carried`` columns of all rows, ``text`` without the frequent lines, and the struct ``_rules``."""
     rows = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), docs[host].cast("string").alias("host"), docs["text"].alias("text")
+        F.monotonically_increasing_id().alias("row_id"),
+        docs["doc_id"].cast("long").alias("doc_id"),
+        docs[host].cast("string").alias("host"),
+        docs["text"].alias("text"),
+        F.struct(F.lit(0).alias("_"), *(docs[c] for c in carried)).alias("carried"),
     )
     measured = durable(
         rows.select(
-            F.monotonically_increasing_id().alias("row_id"),
+            "row_id",
             "doc_id",
             "host",
             F.xxhash64("text", F.length("text")).alias("text_hash"),
-            F.transform(
-                _lines(F.coalesce("text", F.lit(""))),
-                lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(_words(x)).alias("words")),
+            F.filter(
+                F.transform(
+                    F.split(F.coalesce("text", F.lit("")), "\n"),
+                    lambda x, i: F.struct(
+                        i.alias("place"),
+                        F.when(_has_word(x), F.xxhash64(normalised(x))).alias("line"),
+                        F.size(_words(x)).alias("words"),
+                    ),
+                ),
+                lambda x: x["line"].isNotNull(),
             ).alias("lines"),
             *base_columns(F.col("text")),
-        ).select("row_id", "doc_id", "host", "text_hash", "lines", "_w.*", "n_symbols", "n_dup_lines")
+            "carried",
+        ).select("row_id", "doc_id", "host", "text_hash", "lines", "_w.*", "n_symbols", "n_dup_lines", "carried")
     )
     lines = measured.select("row_id", "doc_id", "host", "text_hash", F.inline("lines"))
     last_id = F.lit(2**63 - 1)
@@ -138,12 +156,12 @@ def quality_rules(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: int
         lines.join(frequent, F.col("host").eqNullSafe(F.col("_host")) & (F.col("line") == F.col("_line")))
         .where(F.coalesce("doc_id", last_id) != F.col("first"))
         .groupBy("row_id")
-        .agg(F.sum("words").alias("taken"))
+        .agg(F.sum("words").alias("taken"), F.collect_list("place").alias("places"))
     )
     n_words, repeated = F.col("n_words"), F.col("n_repeat_words")
     left = n_words - F.coalesce("taken", F.lit(0))
     failed = (n_words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n_words)
-    return measured.join(taken, "row_id", "left").select(
+    rules = F.struct(
         "doc_id",
         "n_words",
         "word_chars",
@@ -154,3 +172,35 @@ def quality_rules(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: int
         failed.alias("base_failed"),
         (~failed & (100 * left >= least_left * n_words)).alias("kept"),
     )
+    columns = [F.col("carried")[c].alias(c) for c in carried]
+    if "text" in carried:
+        text = F.col("carried")["text"]
+        whole = F.col("places").isNull()
+        columns[carried.index("text")] = F.when(whole, text).otherwise(_without_lines(text, F.col("places"))).alias("text")
+    return measured.join(taken, "row_id", "left").select(*columns, rules.alias("_rules"))
+
+
+def cleaned_documents(
+    docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: int = LEAST_LEFT, host: str = "source"
+) -> DataFrame:
+    """All rows and columns of ``docs``, ``text`` without the frequent lines, and a struct ``_rules``.
+
+    ``_rules`` has the columns of :func:`quality_rules`, which says which lines go; the base counts
+    are those of the text as it came. Lines that stay, empty ones among them, are unchanged and in
+    order. A null text stays null.
+    """
+    return _ruled(docs, line_limit, least_left, host, docs.columns)
+
+
+def quality_rules(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: int = LEAST_LEFT, host: str = "source") -> DataFrame:
+    """One row per document with the base counts, ``n_left_words``, ``base_failed`` and ``kept``.
+
+    A host is a value of the ``host`` column; null is a host of its own. Exact copies of a
+    text count as one document of a host, so a copied document isn't taken for boilerplate.
+    The first document of a frequent line, by ``doc_id``, keeps it: of a page that a host
+    repeats with small changes, one stays. A null text is empty and fails the base rules.
+    Repeated rows have a row each with equal results. Null ids come last when the first
+    document of a line is sought. Other columns are not read. :func:`cleaned_documents` gives
+    the texts without the lines that are taken away.
+    """
+    return _ruled(docs, line_limit, least_left, host, []).select("_rules.*")

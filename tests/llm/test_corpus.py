@@ -231,6 +231,23 @@ def test_line_frequency(spark):
     assert quality_rules.quality_rules(frame(spark, [])).count() == 0
 
 
+def test_frequent_lines_leave_the_text(spark):
+    rnd = random.Random(8)
+    line = "Read more of this every day 7"
+    docs = [(i, f"\n{line}\n{sentence(rnd, 30)}\n\n{line.upper()} \n{WORDS[i]}\n", "a") for i in range(30)]
+    docs += [(100, f"{line}\n{sentence(rnd, 30)}", "b"), (None, f"{sentence(rnd, 30)}\n{line}", "a"), (101, None, "a"), (102, "", None)]
+    own = {i: text.split("\n") for i, text, _ in docs if text}
+    expected = {i: "\n".join(["", own[i][2], "", WORDS[i], ""]) for i in range(1, 30)}
+    expected |= {0: docs[0][1], 100: docs[30][1], None: own[None][0], 101: None, 102: ""}
+    rows = quality_rules.cleaned_documents(frame(spark, docs)).collect()
+    assert {r.doc_id: r.text for r in rows} == expected and len(rows) == len(docs)
+    assert all(r._rules.n_left_words == len((r.text or "").split()) for r in rows)
+    assert sorted((r._rules for r in rows), key=str) == sorted(quality_rules.quality_rules(frame(spark, docs)).collect(), key=str)
+    staged = corpus_pipeline.quality_stage(spark, frame(spark, docs), SF)
+    assert staged.columns == frame(spark, docs).columns
+    assert {r.doc_id: (r.text, r.n_chars) for r in staged.collect()} == {i: (t, len(t)) for i, t in expected.items() if t}
+
+
 def test_base_counts(spark):
     rnd = random.Random(7)
     texts = [None, "", "\n\n", "a " * 500, "a b c d e f g h a b c d e f g h", "x\ny\nx\n \nx", "#*$ %&| <>\t\x0b\x0c\r z", "é" * 9]
