@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import without
+from prefspark.llm.common import ROW, numbered, without
 from prefspark.llm.decontamination import contamination
 from prefspark.llm.near_duplicates import near_duplicates
 from prefspark.llm.pii import redact_personal_data
@@ -30,14 +30,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the least id, of each group of near duplicates."""
-    return without(docs, near_duplicates(docs).where("not kept"))
+    """One row, the first of the least id, of each group of near duplicates."""
+    rows = numbered(docs)
+    return without(rows, near_duplicates(rows, row=ROW).where("not first"), ROW).drop(ROW)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no phrase of a benchmark item."""
+    """Rows that hold no phrase of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(docs, contamination(docs, items).where("contaminated"))
+    rows = numbered(docs)
+    return without(rows, contamination(rows, items, row=ROW).where("contaminated"), ROW).drop(ROW)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

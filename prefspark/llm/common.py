@@ -87,10 +87,20 @@ def sent_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.limit(SENT_BYTES // row_bytes + 1).count() * row_bytes <= SENT_BYTES else df
 
 
+#: Column that carries row numbers through operators.
+ROW = "_prefspark_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` stored once, with a number in ``ROW`` that no other row has."""
+    return durable(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def without(docs: DataFrame, rejected: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose key is among ``rejected``.
 
-    A null key is a key like any other, and rows that share a key share its fate.
+    A null key is a key like any other, and rows that share a key share its fate: to decide
+    row by row, use a key that is unique, as :func:`numbered` gives.
     """
     gone = sent_if_small(durable(rejected.select(F.col(key).alias("_gone")).distinct()), 16)
     return docs.join(gone, docs[key].eqNullSafe(gone["_gone"]), "left_anti")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefspark.llm.common import arrow_schema, documents_of, first_row_id, map_batches, sent_if_small, slices
+from prefspark.llm.common import arrow_schema, first_row_id, map_batches, sent_if_small, slices
 from prefspark.storage import durable
 
 #: Consecutive test words that make a phrase.
@@ -47,10 +47,11 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_WORD_BYTES).split(b" ") if text else []
 
 
-def build_index(table: DataFrame, key: str, terms: list[str] | None = None) -> DataFrame:
+def build_index(table: DataFrame, key: str, terms: list[str] | None = None, row: str | None = None) -> DataFrame:
     """Stored postings of a table's ``text``: ``row_id, key, term, positions``.
 
-    ``row_id`` is unique to each row, so repeated rows and equal or null keys don't mix. With
+    ``row_id`` is unique to each row, so repeated rows and equal or null keys don't mix; it is the
+    number in the column ``row``, if one is named. With
     ``terms``, postings of other terms are left out, as no phrase asks for them; positions still
     count all words. Each row also has a record with its number of words.
     """
@@ -64,7 +65,8 @@ def build_index(table: DataFrame, key: str, terms: list[str] | None = None) -> D
         for batch in slices(batches, 256):
             rows, keys, found, spots, sizes = [], [], [], [], []
             local: dict[bytes, int] = {}
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for k, text, number in zip(*(c.to_pylist() for c in batch.columns)):
+                own_row = row_id if row is None else number
                 words = [w for w in words_of(text) if w]
                 if known is None:
                     ids = np.array([local.setdefault(w, len(local)) for w in words], np.int64)
@@ -77,7 +79,7 @@ def build_index(table: DataFrame, key: str, terms: list[str] | None = None) -> D
                 found += [own[first], [-1]]
                 spots += [where, [len(words)]]
                 sizes += [np.diff(np.r_[first, len(own)]), [1]]
-                rows += [row_id] * (len(first) + 1)
+                rows += [own_row] * (len(first) + 1)
                 keys += [k] * (len(first) + 1)
                 row_id += 1
             if names is None:
@@ -92,7 +94,8 @@ def build_index(table: DataFrame, key: str, terms: list[str] | None = None) -> D
                 [pa.array(rows, pa.int64()), pa.array(keys, pa.int64()), table.take(pa.array(codes)), positions], schema=schema
             )
 
-    rows = documents_of(table, key, "text").select(F.col(key).cast("long"), "text")
+    number = F.lit(None).cast("long") if row is None else table[row]
+    rows = table.select(table[key].cast("long").alias("key"), table["text"], number.alias("number"))
     return durable(map_batches(rows, post, POSTINGS), compression="zstd")
 
 
@@ -178,19 +181,20 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataF
     return single.unionByName(pairs).unionByName(rest)
 
 
-def contamination(docs: DataFrame, items: DataFrame, length: int = PHRASE, slop: int = 0) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, length: int = PHRASE, slop: int = 0, row: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
 
     ``n_hit`` counts the words inside an occurrence of a test phrase, ``n_items`` the test items
     with an occurring phrase. A null or empty text has no words and no hits; an empty item, or
     one without words, has no phrase; an item without an id hits but isn't listed. Repeated
     documents have a row each; items that share an id count once; an empty table of items
-    finds nothing. Other columns are not read.
+    finds nothing. If ``row`` names a column of unique row numbers, the result has it too. Other
+    columns are not read.
     """
     test = build_index(items, "item_id")
     vocabulary = test.where(F.col("term") != RECORD).select("term").distinct()
     known = [r.term for r in vocabulary.limit(VOCABULARY_LIMIT + 1).collect()]
-    index = build_index(docs, "doc_id", known if len(known) <= VOCABULARY_LIMIT else None)
+    index = build_index(docs, "doc_id", known if len(known) <= VOCABULARY_LIMIT else None, row)
     phrases = durable(phrases_of(test, length))
     matches = durable(phrase_matches(index, phrases, slop))
     hit = (
@@ -218,4 +222,5 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = PHRASE, slop:
         F.size(items_found).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_found, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        *([] if row is None else [F.col("row_id").alias(row)]),
     )

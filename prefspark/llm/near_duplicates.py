@@ -140,30 +140,32 @@ def most_odd_bits(similarity: float, margin: float = MARGIN) -> int:
     return math.floor(SKETCH_BITS / 2 * (1 - math.exp((low - 1) * 4 * SAMPLES / SKETCH_BITS)))
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """Stored signatures, one row per document."""
+def signatures(docs: DataFrame, size: int, row: str | None = None) -> DataFrame:
+    """Stored signatures, one row per document; ``row`` names a column of row numbers, if there is one."""
     schema = arrow_schema(SIGNATURES)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_id = first_row_id()
         for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text, number in zip(*(c.to_pylist() for c in batch.columns)):
+                own = row_id if row is None else number
                 shingles = shingle_set(text, size)
                 if len(shingles):
                     samples = min_hashes(shingles)
                     digest = xxhash.xxh3_128_digest(shingles.tobytes())
-                    rows.append((row_id, doc_id, len(shingles), digest, band_keys(samples), np.r_[odd_sketch(samples), set_sketch(shingles)]))
+                    rows.append((own, doc_id, len(shingles), digest, band_keys(samples), np.r_[odd_sketch(samples), set_sketch(shingles)]))
                 else:
-                    rows.append((row_id, doc_id, 0, None, None, None))
+                    rows.append((own, doc_id, 0, None, None, None))
                 row_id += 1
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    rows = documents_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    number = F.lit(None).cast("long") if row is None else docs[row]
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], number.alias("number"))
     return durable(map_batches(rows, sign, SIGNATURES))
 
 
-def _sets_of(docs: DataFrame, active: DataFrame, size: int) -> DataFrame:
+def _sets_of(docs: DataFrame, active: DataFrame, size: int, row: str | None) -> DataFrame:
     """Stored full shingle sets of the ``active`` classes (``node, class_doc, set_hash``)."""
     schema = arrow_schema(SETS)
 
@@ -178,9 +180,14 @@ def _sets_of(docs: DataFrame, active: DataFrame, size: int) -> DataFrame:
                     found.append(shingles.view(np.int64))
             yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(found, schema.field(1).type)], schema=schema)
 
-    texts = documents_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     wanted = sent_if_small(durable(active.select("node", "class_doc", "set_hash")), 64)
-    joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["class_doc"])).select("node", "set_hash", "text")
+    if row is None:
+        texts = documents_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+        same = texts["doc_id"].eqNullSafe(wanted["class_doc"])
+    else:  # a class's node is the number of one of its rows
+        texts = documents_of(docs, row, "text")
+        same = texts[row] == wanted["node"]
+    joined = texts.join(wanted, same).select("node", "set_hash", "text")
     return durable(map_batches(joined, shingle, SETS))
 
 
@@ -229,7 +236,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, similarity_pct: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, similarity_pct: int = 80, row: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     Documents are linked if ``100 * intersection >= similarity_pct * union`` of their sets of
@@ -238,23 +245,34 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity_pct: int = 80) ->
     shingles, is linked with nothing and is kept. Repeated rows belong to one component and
     share ``kept``. A null ``doc_id`` never names a component that has another id. Other
     columns are not read; an empty table gives an empty result.
+
+    If ``row`` names a column of unique row numbers, the result has it too, and ``first`` marks
+    exactly one row of each component, the one of the least ``doc_id``, then the least number,
+    null ids last. A row without shingles is ``first``.
     """
-    signed = signatures(docs, size)
+    signed = signatures(docs, size, row)
+    foremost = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
     classes = durable(
-        signed.where("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("class_doc"), F.min("row_id").alias("node"))
+        signed.where("n_shingles > 0")
+        .groupBy("set_hash")
+        .agg(F.min("doc_id").alias("class_doc"), F.min("row_id").alias("node"), foremost.alias("foremost"))
     )
-    labels = _labels(docs, signed, classes, size, similarity_pct)
-    labelled = classes.join(labels, "node", "left").select("set_hash", "class_doc", F.coalesce("label", "node").alias("label"))
-    named = labelled.groupBy("label").agg(F.min("class_doc").alias("component_doc"))
-    members = labelled.join(named, "label").select("set_hash", "component_doc")
-    rows = signed.select("doc_id", "n_shingles", "set_hash").join(members, "set_hash", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_doc")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    labels = _labels(docs, signed, classes, size, similarity_pct, row)
+    labelled = classes.join(labels, "node", "left").select(
+        "set_hash", "class_doc", "foremost", F.coalesce("label", "node").alias("label")
     )
+    named = labelled.groupBy("label").agg(F.min("class_doc").alias("component_doc"), F.min("foremost")["row_id"].alias("first_row"))
+    members = labelled.join(named, "label").select("set_hash", "component_doc", "first_row")
+    rows = signed.select("row_id", "doc_id", "n_shingles", "set_hash").join(members, "set_hash", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_doc")).otherwise(F.col("doc_id"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    named_rows = rows.withColumn("component_id", component).withColumn("kept", kept)
+    first = F.coalesce(F.col("row_id") == F.col("first_row"), F.lit(True))
+    more = [] if row is None else [F.col("row_id").alias(row), first.alias("first")]
+    return named_rows.select("doc_id", "n_shingles", "component_id", "kept", *more)
 
 
-def _labels(docs: DataFrame, signed: DataFrame, classes: DataFrame, size: int, similarity_pct: int) -> DataFrame:
+def _labels(docs: DataFrame, signed: DataFrame, classes: DataFrame, size: int, similarity_pct: int, row: str | None) -> DataFrame:
     """``node, label`` of the classes that are linked with another one."""
     nodes = signed.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
     banded = nodes.select(F.col("row_id").alias("node"), F.posexplode("keys").alias("band", "key"))
@@ -272,7 +290,7 @@ def _labels(docs: DataFrame, signed: DataFrame, classes: DataFrame, size: int, s
     pairs = proposed(buckets.where((F.col("band") < FIRST_BANDS) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
     # Any class that may ever be confirmed shares a bucket, but not all of those have a likely partner.
     active = classes.join(sketches.select("node"), "node", "left_semi")
-    sets = _sets_of(docs, active, size)
+    sets = _sets_of(docs, active, size, row)
     links = durable(_confirmed(pairs, sets, similarity_pct))
     labels = components(links)
     for turn in range(PIVOT_ROUNDS + 1):

@@ -343,6 +343,24 @@ def test_without_treats_null_as_a_key(spark):
     assert without(docs, gone.limit(0)).count() == 4
 
 
+def test_stages_decide_by_row(spark):
+    """Rows that share an id, or have none, are kept and dropped each for itself."""
+    rnd = random.Random(9)
+    good = [sentence(rnd, 40) for _ in range(6)]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
+
+    def staged(stage, rows):
+        return sorted(((r.doc_id, r.text) for r in stage(spark, frame(spark, rows), SF).collect()), key=str)
+
+    clean = [(None, good[0]), (None, good[1]), (1, good[2]), (2, good[3])]
+    bad = [(None, "too short"), (1, ""), (2, None)]
+    assert staged(corpus_pipeline.quality_stage, clean + bad) == sorted(clean, key=str)
+    copies = [(None, good[4]), (None, good[4]), (2, good[3]), (None, good[2]), (2, good[5]), (1, edited(rnd, good[2], 0))]
+    assert staged(corpus_pipeline.duplicate_stage, clean + copies) == sorted([*clean, (None, good[4]), (2, good[5])], key=str)
+    dirty = [(None, f"{good[4]} {item}"), (1, item)]
+    assert staged(corpus_pipeline.decontamination_stage, clean + dirty) == sorted(clean, key=str)
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
