@@ -32,16 +32,21 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
 _NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
 _DIGIT = re.compile(r"[0-9]")
 
-# Lengths of international bank account numbers, by country.
+# Lengths of international bank account numbers, by country of the register.
 IBAN_LENGTHS = {
-    "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18,
-    "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20,
-    "LV": 21, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 
 #: Score of a span by its form alone, and words that raise it when they stand within ``WINDOW`` characters.
@@ -113,16 +118,32 @@ def _base_spans(text: str) -> Iterator[tuple[str, int, int]]:
                 yield "phone", m.start(), m.end()
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Numbers of their country's length; the search goes on where one ends, or behind the start that is none."""
+    at = 0
+    while m := _IBAN_START.search(text, at):
+        start, end = m.span()
+        at = start + 1
+        length = IBAN_LENGTHS.get(m[0][:2], 0)
+        seen = 4
+        while seen < length:
+            place = end + (text[end : end + 1] == " ")
+            if text[place : place + 1] not in _IBAN_CHARACTERS:
+                break
+            end, seen = place + 1, seen + 1
+        if length and seen == length and mod97(text[start:end].replace(" ", "")):
+            yield start, end
+            at = end
+
+
+_IBAN_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+
 def _more_spans(text: str) -> Iterator[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return
-    for m in _IBAN.finditer(text):
-        length, end, seen = IBAN_LENGTHS.get(m[0][:2], 0), m.start(), 0
-        while end < m.end() and seen < length:
-            seen += text[end] != " "
-            end += 1
-        if length and seen == length and mod97(text[m.start() : end].replace(" ", "")):
-            yield "iban", m.start(), end
+    for start, end in _ibans(text):
+        yield "iban", start, end
     for kind, pattern in (("national_id", _NATIONAL_ID), ("local_phone", _LOCAL_PHONE)):
         for m in pattern.finditer(text):
             yield kind, m.start(), m.end()

@@ -75,6 +75,18 @@ def kinds(spans):
     return [s[0] for s in spans]
 
 
+def test_account_numbers_of_all_countries_side_by_side():
+    accounts = ["DE89370400440532013000", "GB29NWBK60161331926819", "TR330006100519786457841326", "SA0380000000608010167519"]
+    accounts += ["AE070331234567890123456", "IL620108000000099999999", "BR1800360305000010009795493C1", "NO9386011117947"]
+    text = "to " + " ".join(accounts) + " or DE00 " + accounts[0]
+    got = [text[start:end] for kind, start, end, _ in pii.personal_spans(text) if kind == "iban"]
+    # A number whose digits also pass as a card is reported as a card.
+    cards = [(start, end) for kind, start, end, _ in pii.personal_spans(text) if kind == "card"]
+    assert [text[a:b] for a, b in pii._ibans(text)] == [*accounts, accounts[0]]
+    assert got == [text[a:b] for a, b in pii._ibans(text) if not any(a < end and start < b for start, end in cards)]
+    assert pii.redacted("DE89370400440532013000 GB29NWBK60161331926819") == "<IBAN> <IBAN>"
+
+
 def test_checksums_and_context():
     assert pii.mod97("DE89370400440532013000") and not pii.mod97("DE88370400440532013000")
     assert kinds(pii.personal_spans("pay to DE89 3704 0044 0532 0130 00 now")) == ["iban"]
