@@ -32,7 +32,10 @@ TO_TEXT = (
     (r"^[ \n]+|[ \n]+$", ""),
 )
 TITLE = r"(?is)<title[^>]*>(.*?)</title"
+#: Double-quoted links only, as the SQL check finds them.
 LINK = r"(?i)<a\s[^>]*?href=\"([^\"]*)\""
+#: The same with the quotes around the value, double, single or none.
+ANY_LINK = r"""(?i)<a\s(?:[^>]*?[\s"'/])?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 
 
 def digest(block: Column) -> Column:
@@ -82,7 +85,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
     kind = F.lower(F.regexp_extract(headers, r"(?im)^content-type:\s*([^;\s]+)", 1))
     html = kind.isin("", "text/html", "application/xhtml+xml")
     title = F.trim(F.regexp_replace(F.regexp_extract(payload, TITLE, 1), r"\s+", " "))
-    links = F.transform(F.regexp_extract_all(payload, F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), x))
+    found = F.regexp_extract_all(payload, F.lit(ANY_LINK), F.lit(1))
+    links = F.transform(found, lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(x, r"""(?s)^(["'])(.*)\1$""", F.lit("$2"))))
     fields = F.array_join(F.concat(F.array(F.concat(F.lit("title: "), title)), links), "\r\n")
 
     def derived(record_type: str, content_type: str, block: Column) -> Column:

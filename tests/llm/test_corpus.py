@@ -333,6 +333,13 @@ def test_warc_derivatives(spark):
     assert warc.derivatives(warc.responses_of(pages.limit(0))).count() == 0
 
 
+def test_links_in_all_quotings(spark):
+    links = ["<a href=\"/a b\">", "<a class=x href='/c\"d'>", "<A HREF=/e/f>", "<a\nid=1 href = '/g'>", "<a data-href=\"/no\" href=/h?i=j>", "<a href=\"\">"]
+    pages = spark.createDataFrame([(1, "u", "x".join(links))], "page_id long, url string, html string")
+    block = warc.derivatives(warc.responses_of(pages)).where("record_type = 'metadata'").first().block
+    assert block.split("\r\n")[1:] == [f"outlink: {x}" for x in ("/a b", "/c\"d", "/e/f", "/g", "/h?i=j", "")]
+
+
 # Pipeline
 
 
