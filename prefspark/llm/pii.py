@@ -105,7 +105,7 @@ def _base_spans(text: str) -> Iterator[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             yield "ip", m.start(), m.end()
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:

@@ -71,6 +71,13 @@ def test_long_runs_take_linear_time():
     assert time.time() - start < 30
 
 
+def test_address_parts_of_many_zeros():
+    # Leading zeros are not counted: a part of 5,000 zeros is 0, so the address stands.
+    text = "0" * 5000 + ".1.1.1"
+    assert [(kind, start, end) for kind, start, end, _ in pii.personal_spans(text) if kind == "ip"] == [("ip", 0, len(text))]
+    assert "ip" not in [kind for kind, *_ in pii.personal_spans("0" * 5000 + "256.1.1.1")]
+
+
 def kinds(spans):
     return [s[0] for s in spans]
 
