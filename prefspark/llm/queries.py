@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import decontamination, near_duplicates, packing, pii, quality_classifier, quality_rules
+from prefspark.llm import collision_ann, decontamination, near_duplicates, packing, pii, quality_classifier, quality_rules
 from prefspark.llm import secrets, simple8b, token_counts, tokenization, warc
 from prefspark.storage import new_path
 
@@ -82,6 +82,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collision_ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "query_row", "row")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,5 +100,6 @@ QUERIES = {
         op8_quality_scores,
         op9_token_counts,
         op10_secrets,
+        op11_nearest_neighbours,
     )
 }
