@@ -125,9 +125,53 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least_id, doc_id) AS com
 FROM t LEFT JOIN n USING (doc_id) LEFT JOIN least_id USING (doc_id)
 """
 
+OP12 = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS t FROM documents
+), p AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), pos AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0
+), grams AS (
+  SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k AS size
+  FROM pos, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w)
+), f AS (
+  SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY lang, phrase, size HAVING count(*) >= 10
+), c AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS lp, array_to_string(w[k + 1 : len(w)], ' ') AS rp
+  FROM c, (SELECT unnest([1, 2]) AS k) WHERE k < len(w)
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, fl.f AS l, fr.f AS r,
+    CAST((CAST(a AS HUGEINT) * a * 1000000) // (CAST(fl.f AS HUGEINT) * fr.f) AS BIGINT) AS score
+  FROM cuts JOIN f fl ON fl.lang = cuts.lang AND fl.phrase = cuts.lp JOIN f fr ON fr.lang = cuts.lang AND fr.phrase = cuts.rp
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM scored) WHERE o = 1
+), covering AS (
+  SELECT lang, inner_phrase, max(a) AS fl FROM (
+    SELECT lang, array_to_string(w[1 : 2], ' ') AS inner_phrase, a FROM c WHERE len(w) = 3
+    UNION ALL SELECT lang, array_to_string(w[2 : 3], ' '), a FROM c WHERE len(w) = 3
+  ) GROUP BY lang, inner_phrase
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN covering ON covering.lang = best.lang AND covering.inner_phrase = best.phrase
+  WHERE covering.fl IS NULL OR 100 * covering.fl < 50 * best.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  n, score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_decontamination": OP1,
     "op2_warc_derivatives": OP2,
     "op5_quality_rules": OP5,
     "op6_near_duplicates": OP6,
+    "op12_collocations": OP12,
 }

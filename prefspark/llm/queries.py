@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import collision_ann, decontamination, near_duplicates, packing, pii, quality_classifier, quality_rules
+from prefspark.llm import collision_ann, collocations, decontamination, near_duplicates, packing, pii, quality_classifier, quality_rules
 from prefspark.llm import secrets, simple8b, token_counts, tokenization, warc
 from prefspark.storage import new_path
 
@@ -87,6 +87,11 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "query_row", "row")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,5 +106,6 @@ QUERIES = {
         op9_token_counts,
         op10_secrets,
         op11_nearest_neighbours,
+        op12_collocations,
     )
 }
