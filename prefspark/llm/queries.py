@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefspark.llm import collision_ann, collocations, decontamination, near_duplicates, packing, pii, quality_classifier, quality_rules
-from prefspark.llm import secrets, simple8b, token_counts, tokenization, warc
+from prefspark.llm import secrets, simple8b, spelling_variants, token_counts, tokenization, warc
 from prefspark.storage import new_path
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -92,6 +92,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"), min_length=5, min_count=3, ratio=2)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -107,5 +111,6 @@ QUERIES = {
         op10_secrets,
         op11_nearest_neighbours,
         op12_collocations,
+        op13_spelling_variants,
     )
 }
