@@ -563,3 +563,74 @@ SELECT doc_id AS pair_id,
        END AS score
 FROM documents JOIN labels USING (doc_id) WHERE quality = 1""",
 }
+
+
+# Analyses named by the reference's documents
+
+_WEIGHT = "CASE WHEN u >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN u >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9810118431238463 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9963401531726563 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9994058151824183 THEN 1 ELSE 0 END + CASE WHEN u >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999897508033253 THEN 1 ELSE 0 END + CASE WHEN u >= 0.999998874797402 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999998885745216 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999899522336 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999991683892 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999999364022 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999999954802 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999999997 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999999999813 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999999999989 THEN 1 ELSE 0 END + CASE WHEN u >= 0.9999999999999999 THEN 1 ELSE 0 END"
+
+ORACLES |= {
+    "winrate_bootstrap": _with(
+        _JUDGED,
+        """valid AS (
+  SELECT coalesce(CAST(prompt_id AS VARCHAR), '') AS key, CAST(verdict = 'B' AS INT) AS win FROM judged WHERE verdict IN ('A', 'B')
+), per_prompt AS (
+  SELECT key, count(*) AS n, sum(win) AS wins FROM valid GROUP BY key
+), drawn AS (
+  SELECT key, n, wins, unnest(range(0, 1000)) AS r FROM per_prompt
+), uniform AS (
+  SELECT r, n, wins, CAST(('0x' || substr(md5('7:' || key || ':' || CAST(r AS VARCHAR)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u
+  FROM drawn
+), sums AS (
+  SELECT r, sum(w * n) AS n, sum(w * wins) AS wins FROM (SELECT r, n, wins, """ + _WEIGHT + """ AS w FROM uniform) GROUP BY r
+), rates AS (
+  SELECT CASE WHEN n > 0 THEN wins / n END AS rate FROM sums
+), spread AS (
+  SELECT 1000 - count(rate) AS empty_replicates, quantile_cont(rate, [0.025, 0.975]) AS ends, stddev_samp(rate) AS std_error FROM rates
+), point AS (
+  SELECT count(*) AS evaluated_preferences, CAST(coalesce(sum(win), 0) AS BIGINT) AS ppo_wins FROM valid
+)""",
+        select=f"""
+SELECT evaluated_preferences, ppo_wins,
+       {_r6('CASE WHEN evaluated_preferences > 0 THEN ppo_wins / evaluated_preferences END')} AS ppo_win_rate,
+       CAST(1000 AS BIGINT) AS replicates, CAST(empty_replicates AS BIGINT) AS empty_replicates,
+       {_r6('ends[1]')} AS ci_low, {_r6('ends[2]')} AS ci_high, {_r6('std_error')} AS std_error
+FROM point, spread""",
+    ),
+}
+
+_RATINGS = """
+ratings AS (
+  SELECT doc_id AS item, 'quality' AS rater, CASE WHEN quality = 1 THEN 'keep' WHEN quality IS NOT NULL THEN 'drop' END AS label FROM labels
+  UNION ALL SELECT doc_id, 'safety', CASE WHEN toxic = 0 THEN 'keep' WHEN toxic IS NOT NULL THEN 'drop' END FROM labels
+  UNION ALL SELECT doc_id, 'reward', CASE WHEN doc_id % 13 <> 0 THEN CASE WHEN quality + 1.5 - toxic >= 2 THEN 'keep' WHEN quality + 1.5 - toxic IS NOT NULL THEN 'drop' END END FROM labels
+), once AS (
+  SELECT item, rater, min(label) AS label FROM ratings WHERE item IS NOT NULL AND label IS NOT NULL
+  GROUP BY item, rater HAVING min(label) = max(label)
+), cells AS (
+  SELECT a.rater AS rater_a, b.rater AS rater_b, a.label AS label_a, b.label AS label_b, count(*) AS n
+  FROM once a JOIN once b ON a.item = b.item AND a.rater < b.rater GROUP BY ALL
+)"""
+
+ORACLES |= {
+    "rater_contingency": _with(_RATINGS, select="SELECT rater_a, rater_b, label_a, label_b, CAST(n AS BIGINT) AS n FROM cells"),
+    "rater_agreement": _with(
+        _RATINGS,
+        """totals AS (
+  SELECT rater_a, rater_b, sum(n) AS n_items, sum(CASE WHEN label_a = label_b THEN n ELSE 0 END) AS n_agree FROM cells GROUP BY ALL
+), chance AS (
+  SELECT r.rater_a, r.rater_b, sum(row_n * col_n) AS expected
+  FROM (SELECT rater_a, rater_b, label_a AS label, sum(n) AS row_n FROM cells GROUP BY ALL) r
+  JOIN (SELECT rater_a, rater_b, label_b AS label, sum(n) AS col_n FROM cells GROUP BY ALL) c USING (rater_a, rater_b, label)
+  GROUP BY ALL
+), p AS (
+  SELECT rater_a, rater_b, n_items, n_agree, n_agree / n_items AS p_o, coalesce(expected, 0) / (n_items * n_items) AS p_e
+  FROM totals LEFT JOIN chance USING (rater_a, rater_b)
+)""",
+        select=f"""
+SELECT rater_a, rater_b, CAST(n_items AS BIGINT) AS n_items, CAST(n_agree AS BIGINT) AS n_agree,
+       {_r6('p_o')} AS p_observed, {_r6('p_e')} AS p_expected,
+       {_r6('CASE WHEN p_e >= 1 THEN 1.0 ELSE (p_o - p_e) / (1 - p_e) END')} AS kappa
+FROM p""",
+    ),
+}

@@ -15,6 +15,7 @@ from prefspark.functions.losses import linear_score as linear
 from prefspark.functions.text import format_prompt, format_response, text_or_default
 from prefspark.functions.text import strip_text as strip
 from prefspark.functions.tokens import supervised_count, truncate_at_stop as cut_at_stop
+from prefspark.operators import analyses as A
 from prefspark.operators import conversations as C
 from prefspark.operators import evaluation as E
 from prefspark.operators import ordinals as O
@@ -601,3 +602,44 @@ def pairwise_ranker(spark, sf):
 def ranker_scores(spark, sf):
     pairs = X.document_pairs(spark, sf)
     return K.score_pairs(K.fit_pairwise_ranker(pairs), pairs)
+
+
+# Analyses named by the reference's documents
+
+
+BOOTSTRAP_REPLICATES = 1000
+BOOTSTRAP_SEED = 7
+
+
+@query
+def winrate_bootstrap(spark, sf):
+    found = A.winrate_bootstrap(_judgements(spark, sf), BOOTSTRAP_REPLICATES, 0.95, BOOTSTRAP_SEED)
+    return found.select(
+        "evaluated_preferences", "ppo_wins", r6("ppo_win_rate").alias("ppo_win_rate"), "replicates", "empty_replicates",
+        r6("ci_low").alias("ci_low"), r6("ci_high").alias("ci_high"), r6("std_error").alias("std_error"),
+    )
+
+
+def _ratings(spark, sf):
+    """Three raters of the labelled documents: quality, safety, and the reward (2 or more keeps)."""
+    labels = X.table(spark, sf, "labels")
+    keep = lambda c: F.when(c, F.lit("keep")).when(~c, F.lit("drop"))
+    quality = labels.select(F.col("doc_id").alias("item"), F.lit("quality").alias("rater"), keep(F.col("quality") == 1).alias("label"))
+    safety = labels.select(F.col("doc_id").alias("item"), F.lit("safety").alias("rater"), keep(F.col("toxic") == 0).alias("label"))
+    replies = X.judge_replies(spark, sf)
+    reward = replies.select(F.col("prompt_id").alias("item"), F.lit("reward").alias("rater"), keep(F.col("reward") >= 2).alias("label"))
+    return quality.unionByName(safety).unionByName(reward)
+
+
+@query
+def rater_agreement(spark, sf):
+    found = A.rater_agreement(_ratings(spark, sf))
+    return found.select(
+        "rater_a", "rater_b", "n_items", "n_agree",
+        *[r6(c).alias(c) for c in ("p_observed", "p_expected", "kappa")],
+    )
+
+
+@query
+def rater_contingency(spark, sf):
+    return A.rater_contingency(_ratings(spark, sf)).withColumn("n", F.col("n").cast("long"))
