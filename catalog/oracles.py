@@ -634,3 +634,36 @@ SELECT rater_a, rater_b, CAST(n_items AS BIGINT) AS n_items, CAST(n_agree AS BIG
 FROM p""",
     ),
 }
+
+_SIDES = """
+docs AS (
+  SELECT doc_id, lower(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))) AS norm,
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 1) IN ('0', '1', '2', '3') AS test
+  FROM documents
+), texts AS (
+  SELECT norm, list_filter(string_split(norm, ' '), lambda w: w <> '') AS w FROM (SELECT DISTINCT norm FROM docs)
+), sets AS (
+  SELECT norm, list_distinct(list_transform(range(1, greatest(len(w) - 5 + 1, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
+  FROM texts WHERE len(w) > 0
+), tok AS (
+  SELECT norm, len(s) AS n, unnest(s) AS token FROM sets
+), train_texts AS (
+  SELECT norm, count(*) AS copies, min(doc_id) AS least_id FROM docs WHERE NOT test GROUP BY norm
+), pairs AS (
+  SELECT a.norm AS train_norm, b.norm AS test_norm
+  FROM tok a JOIN tok b USING (token)
+  WHERE a.norm IN (SELECT norm FROM train_texts) AND b.norm IN (SELECT norm FROM docs WHERE test)
+  GROUP BY a.norm, b.norm, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), near AS (
+  SELECT test_norm AS norm, sum(copies) AS n_near, min(least_id) AS near_id FROM pairs JOIN train_texts ON train_texts.norm = pairs.train_norm GROUP BY test_norm
+)"""
+
+ORACLES |= {
+    "prompt_dedup": _with(
+        _SIDES,
+        select="""
+SELECT d.doc_id, CAST(coalesce(t.copies, 0) AS BIGINT) AS n_exact, CAST(coalesce(n.n_near, 0) AS BIGINT) AS n_near,
+       least(t.least_id, n.near_id) AS first_train_id, coalesce(t.copies, 0) + coalesce(n.n_near, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN train_texts t USING (norm) LEFT JOIN near n USING (norm) WHERE d.test""",
+    ),
+}

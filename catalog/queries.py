@@ -17,6 +17,7 @@ from prefspark.functions.text import strip_text as strip
 from prefspark.functions.tokens import supervised_count, truncate_at_stop as cut_at_stop
 from prefspark.operators import analyses as A
 from prefspark.operators import conversations as C
+from prefspark.operators import dedup as U
 from prefspark.operators import evaluation as E
 from prefspark.operators import ordinals as O
 from prefspark.operators import pairs as P
@@ -643,3 +644,14 @@ def rater_agreement(spark, sf):
 @query
 def rater_contingency(spark, sf):
     return A.rater_contingency(_ratings(spark, sf)).withColumn("n", F.col("n").cast("long"))
+
+
+def held_out() -> Column:
+    """The test side of the documents: a quarter, by the first hex digit of md5(doc_id); every row is on one side."""
+    return F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 1).isin("0", "1", "2", "3")
+
+
+@query
+def prompt_dedup(spark, sf):
+    documents = X.table(spark, sf, "documents")
+    return U.prompt_dedup(documents.where(~held_out()), documents.where(held_out()), 5, 80)
