@@ -54,6 +54,20 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def recorded_tables() -> Iterator[list[str]]:
+    """The paths of all tables that :func:`durable` stores inside the block.
+
+    For callers that can only remove them later, once what reads them has been written.
+    """
+    opened: list[str] = []
+    _OPEN.append(opened)
+    try:
+        yield opened
+    finally:
+        _OPEN.remove(opened)
+
+
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Remove, at the end, all tables that :func:`durable` stores inside the block.

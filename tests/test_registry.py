@@ -66,3 +66,15 @@ def test_scans_read_only_what_they_need(spark):
     assert schemas("win_counts") == ["doc_id:bigint"]
     assert schemas("batch_assign") == ["doc_id:bigint"] * 2
     assert all("event_type" not in s and "props" not in s for s in schemas("rollout_metrics"))
+
+
+def test_recorded_tables_names_what_durable_stores(spark):
+    from prefspark.storage import durable, recorded_tables, remove
+
+    with recorded_tables() as paths:
+        table = durable(spark.range(3))
+    assert len(paths) == 1 and table.count() == 3
+    remove(spark, paths[0])
+    with recorded_tables() as later:
+        pass
+    assert later == []
