@@ -49,6 +49,14 @@ def durable(df: DataFrame, compression: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _close(opened: list[str]) -> None:
+    """Stop recording into ``opened``: by identity, as nested blocks may hold equal lists."""
+    for at, other in enumerate(_OPEN):
+        if other is opened:
+            del _OPEN[at]
+            return
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -65,7 +73,7 @@ def recorded_tables() -> Iterator[list[str]]:
     try:
         yield opened
     finally:
-        _OPEN.remove(opened)
+        _close(opened)
 
 
 @contextmanager
@@ -79,6 +87,6 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _OPEN.remove(opened)
+        _close(opened)
         for path in opened:
             remove(spark, path)

@@ -78,3 +78,13 @@ def test_recorded_tables_names_what_durable_stores(spark):
     with recorded_tables() as later:
         pass
     assert later == []
+
+
+def test_nested_recorded_tables(spark):
+    from prefspark.storage import durable, recorded_tables
+
+    with recorded_tables() as outer:
+        with recorded_tables() as inner:
+            durable(spark.range(1))
+        durable(spark.range(2))
+    assert len(inner) == 1 and len(outer) == 2 and outer[0] == inner[0]
