@@ -3,6 +3,10 @@
 Stages: quality rules, near duplicates, benchmark decontamination, personal data, packing.
 Each stage gets what the stage before it kept. All but the last return the columns of
 ``documents``.
+
+Disk: the tables a stage stores for itself are removed when a later stage starts and its
+input no longer reads them (its input is then the written output of the stage before), so
+at most one stage's tables are on disk at a time. ``run`` removes them all at the end.
 """
 
 from __future__ import annotations
@@ -16,7 +20,40 @@ from prefspark.llm.near_duplicates import near_duplicates
 from prefspark.llm.pii import redact_personal_data
 from prefspark.llm.quality_rules import cleaned_documents
 from prefspark.llm.queries import packed_digests
-from prefspark.storage import durable
+from prefspark.storage import durable, recorded_tables, remove
+
+#: Tables stored by stages that ran before, removed as soon as no input reads them.
+_BEHIND: list[str] = []
+
+
+def _read_by(docs: DataFrame) -> list[str]:
+    try:
+        return docs.inputFiles()
+    except Exception:  # a plan that lists no files reads none of ours
+        return []
+
+
+def _free(spark: SparkSession, docs: DataFrame | None) -> None:
+    """Remove the stored tables of earlier stages that ``docs`` doesn't read."""
+    files = _read_by(docs) if docs is not None else []
+    for path in list(_BEHIND):
+        if not any(f.startswith(path) or f.startswith("file:" + path) for f in files):
+            remove(spark, path)
+            _BEHIND.remove(path)
+
+
+def _freeing(stage):
+    """``stage``, which first frees what earlier stages stored and records what it stores."""
+
+    def body(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _free(spark, docs)
+        with recorded_tables() as paths:
+            out = stage(spark, docs, sf_dir)
+        _BEHIND.extend(paths)
+        return out
+
+    body.__name__, body.__doc__ = stage.__name__, stage.__doc__
+    return body
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -53,11 +90,11 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality_rules", quality_stage),
-    ("near_duplicates", duplicate_stage),
-    ("decontamination", decontamination_stage),
-    ("personal_data", personal_data_stage),
-    ("packing", packing_stage),
+    ("quality_rules", _freeing(quality_stage)),
+    ("near_duplicates", _freeing(duplicate_stage)),
+    ("decontamination", _freeing(decontamination_stage)),
+    ("personal_data", _freeing(personal_data_stage)),
+    ("packing", _freeing(packing_stage)),
 ]
 
 #: SQL can express neither the tokenizer's ids nor the spans with their checks.
@@ -67,6 +104,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    written: list[str] = []
     for _, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir))
+        with recorded_tables() as paths:
+            docs = durable(stage(spark, docs, sf_dir))
+        for path in written:  # the output of the stage before is read no more
+            remove(spark, path)
+        written = [paths[-1]]
+        _BEHIND.extend(p for p in paths[:-1] if p not in _BEHIND)
+    _free(spark, docs)
     return docs
