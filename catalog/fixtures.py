@@ -127,6 +127,15 @@ def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def swapped_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``prompt_id, verdict_raw`` of the same prompts asked with the answers in the other order."""
+    return table(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS prompt_id",
+        r"""element_at(array('B', 'A', ' a ', NULL, 'A', 'b', 'x', 'A', 'B'),
+            CAST((doc_id * 3 + quality) % 9 + 1 AS INT)) AS verdict_raw""",
+    )
+
+
 def prompt_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First user text of each chat; every tenth prompt is missing."""
     first = F.min_by("text", F.when(F.col("role") == "user", F.col("turn")))

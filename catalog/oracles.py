@@ -667,3 +667,61 @@ SELECT d.doc_id, CAST(coalesce(t.copies, 0) AS BIGINT) AS n_exact, CAST(coalesce
 FROM docs d LEFT JOIN train_texts t USING (norm) LEFT JOIN near n USING (norm) WHERE d.test""",
     ),
 }
+
+_DIAGNOSED = """
+w AS (
+  SELECT doc_id, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
+), g AS (
+  SELECT doc_id, lang, w, CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' ')) ELSE [] END AS g FROM w
+), tox AS (
+  SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, len(w) AS n_words, len(list_distinct(w)) AS n_distinct, len(g) AS n_grams,
+         len(g) - len(list_distinct(g)) AS n_repeated, toxic
+  FROM g LEFT JOIN tox USING (doc_id)
+)"""
+
+ORACLES |= {
+    "response_diagnostics": _with(
+        _DIAGNOSED,
+        select=f"""
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_distinct AS BIGINT) AS n_distinct,
+       {_r6('CASE WHEN n_words > 0 THEN n_distinct / n_words END')} AS distinct_share, CAST(n_repeated AS BIGINT) AS n_repeated,
+       {_r6('CASE WHEN n_grams > 0 THEN n_repeated / n_grams END')} AS repeat_share, CAST(toxic AS INTEGER) AS toxic
+FROM d""",
+    ),
+    "response_profile": _with(
+        _DIAGNOSED,
+        select=f"""
+SELECT lang, count(*) AS n_responses, {_r6('avg(n_words)')} AS mean_words,
+       {_r6('avg(CASE WHEN n_words > 0 THEN n_distinct / n_words END)')} AS mean_distinct_share,
+       {_r6('avg(CASE WHEN n_grams > 0 THEN n_repeated / n_grams END)')} AS mean_repeat_share,
+       count(toxic) AS n_labelled, {_r6('avg(toxic)')} AS toxic_share
+FROM d GROUP BY lang""",
+    ),
+    "position_bias": _with(
+        _JUDGED,
+        """swapped AS (
+  SELECT doc_id AS prompt_id,
+         CASE WHEN upper(trim(v, ' ' || chr(9) || chr(10))) IN ('A', 'B') THEN upper(trim(v, ' ' || chr(9) || chr(10))) END AS verdict
+  FROM (SELECT doc_id, ['B', 'A', ' a ', NULL, 'A', 'b', 'x', 'A', 'B'][(doc_id * 3 + quality) % 9 + 1] AS v FROM labels)
+), fo AS (
+  SELECT prompt_id, min(verdict) AS f, count(DISTINCT verdict) > 1 AS af FROM judged WHERE verdict IN ('A', 'B') GROUP BY prompt_id
+), so AS (
+  SELECT prompt_id, min(verdict) AS s, count(DISTINCT verdict) > 1 AS as_ FROM swapped WHERE verdict IN ('A', 'B') GROUP BY prompt_id
+), both_ AS (
+  SELECT CASE WHEN NOT af THEN f END AS f, CASE WHEN NOT as_ THEN s END AS s, coalesce(af, false) OR coalesce(as_, false) AS amb
+  FROM fo FULL JOIN so USING (prompt_id)
+)""",
+        select=f"""
+SELECT count(*) FILTER (WHERE f IS NOT NULL OR s IS NOT NULL) AS n_prompts,
+       count(*) FILTER (WHERE f IS NOT NULL AND s IS NOT NULL) AS n_both,
+       count(*) FILTER (WHERE f <> s) AS n_consistent,
+       {_r6('CASE WHEN count(*) FILTER (WHERE f IS NOT NULL AND s IS NOT NULL) > 0 THEN (count(*) FILTER (WHERE f <> s)) / (count(*) FILTER (WHERE f IS NOT NULL AND s IS NOT NULL)) END')} AS consistency,
+       {_r6("CASE WHEN count(f) + count(s) > 0 THEN (count(*) FILTER (WHERE f = 'A') + count(*) FILTER (WHERE s = 'A')) / (count(f) + count(s)) END")} AS first_side_rate,
+       count(*) FILTER (WHERE f IS NULL AND s IS NOT NULL) AS missing_forward,
+       count(*) FILTER (WHERE s IS NULL AND f IS NOT NULL) AS missing_swapped,
+       count(*) FILTER (WHERE amb) AS ambiguous
+FROM both_""",
+    ),
+}

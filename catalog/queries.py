@@ -655,3 +655,33 @@ def held_out() -> Column:
 def prompt_dedup(spark, sf):
     documents = X.table(spark, sf, "documents")
     return U.prompt_dedup(documents.where(~held_out()), documents.where(held_out()), 5, 80)
+
+
+@query
+def response_diagnostics(spark, sf):
+    found = A.response_diagnostics(X.table(spark, sf, "documents").select("doc_id", "text"), X.table(spark, sf, "labels"), 3)
+    return found.select("doc_id", "n_words", "n_distinct", r6("distinct_share").alias("distinct_share"), "n_repeated",
+                        r6("repeat_share").alias("repeat_share"), "toxic")
+
+
+@query
+def response_profile(spark, sf):
+    """Per language: responses, mean words, mean shares, and the toxic share of labelled ones."""
+    found = A.response_diagnostics(X.table(spark, sf, "documents").select("doc_id", "text"), X.table(spark, sf, "labels"), 3)
+    langs = X.table(spark, sf, "documents").select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"))
+    profile = found.join(langs, "doc_id").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_responses"), F.avg("n_words").alias("mean_words"),
+        F.avg("distinct_share").alias("mean_distinct_share"), F.avg("repeat_share").alias("mean_repeat_share"),
+        F.count("toxic").alias("n_labelled"), F.avg("toxic").alias("toxic_share"),
+    )
+    return profile.select("lang", "n_responses", *[r6(c).alias(c) for c in ("mean_words", "mean_distinct_share", "mean_repeat_share")],
+                          "n_labelled", r6("toxic_share").alias("toxic_share"))
+
+
+@query
+def position_bias(spark, sf):
+    forward = _judgements(spark, sf).select("prompt_id", "verdict")
+    swapped = X.swapped_replies(spark, sf).select("prompt_id", parse_verdict(F.col("verdict_raw")).alias("verdict"))
+    found = A.position_bias(forward, swapped)
+    return found.select("n_prompts", "n_both", "n_consistent", r6("consistency").alias("consistency"),
+                        r6("first_side_rate").alias("first_side_rate"), "missing_forward", "missing_swapped", "ambiguous")

@@ -116,3 +116,89 @@ def rater_agreement(ratings: DataFrame) -> DataFrame:
         p_o.alias("p_observed"), p_e.alias("p_expected"),
         F.when(p_e >= 1, F.lit(1.0)).otherwise((p_o - p_e) / (1 - p_e)).alias("kappa"),
     )
+
+
+#: Blanks between words, the same in SQL: Java's and RE2's ``\s`` differ on U+000B.
+BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
+
+
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def response_diagnostics(responses: DataFrame, labels: DataFrame, n: int = 3) -> DataFrame:
+    """Per response: n_words, n_distinct, distinct_share, n_repeated (``n``-grams seen before
+    in the same text), repeat_share, and ``toxic`` from ``labels`` (null when unlabelled).
+
+    ``responses``: doc_id, text. Words are the blank-separated pieces; a null text has none.
+    Shares are null without words (or without ``n``-grams). Repeated rows give repeated rows;
+    a doc_id labelled twice takes the largest label. Very long texts are read whole.
+    """
+    words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), BLANKS), lambda w: w != "")
+
+    def measured(w: Column) -> Column:
+        count = F.size(w)
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(count - n + 1, F.lit(0))), lambda i: F.array_join(F.slice(w, i, n), " "))
+        grams = F.when(count >= n, grams).otherwise(F.array().cast("array<string>"))
+        return F.struct(
+            count.cast("long").alias("n_words"),
+            F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
+            F.size(grams).cast("long").alias("n_grams"),
+            (F.size(grams) - F.size(F.array_distinct(grams))).cast("long").alias("n_repeated"),
+        )
+
+    measures = responses.select(responses["doc_id"].alias("doc_id"), _bound(words, measured).alias("m")).select("doc_id", "m.*")
+    toxic = labels.groupBy(labels["doc_id"].alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    return measures.join(toxic, "doc_id", "left").select(
+        "doc_id", "n_words", "n_distinct",
+        F.when(F.col("n_words") > 0, F.col("n_distinct") / F.col("n_words")).alias("distinct_share"),
+        "n_repeated",
+        F.when(F.col("n_grams") > 0, F.col("n_repeated") / F.col("n_grams")).alias("repeat_share"),
+        F.col("toxic").cast("int").alias("toxic"),
+    )
+
+
+def _one_verdict(verdicts: DataFrame) -> DataFrame:
+    """prompt_id, verdict: one valid verdict per prompt; a prompt with two different ones has none."""
+    valid = verdicts.where(F.col("verdict").isin("A", "B"))
+    return valid.groupBy("prompt_id").agg(F.min("verdict").alias("verdict"), F.max("verdict").alias("other")).where(
+        F.col("verdict") == F.col("other")
+    ).drop("other")
+
+
+def position_bias(forward: DataFrame, swapped: DataFrame) -> DataFrame:
+    """Agreement of the judge with itself when the answers change places.
+
+    ``forward``: prompt_id, verdict with the first policy as A; ``swapped``: the same prompts
+    asked with the second policy as A. A prompt is consistent when both orders name the same
+    policy (A then B, or B then A). Result, one row: n_prompts (with a valid verdict in any
+    order), n_both, n_consistent, consistency (null without pairs), first_side_rate (share
+    of A among all valid verdicts), missing_forward, missing_swapped, ambiguous (prompts with
+    two different verdicts in one order; they count as missing there).
+    """
+    counted = lambda df, side: df.where(F.col("verdict").isin("A", "B")).groupBy("prompt_id").agg(
+        (F.countDistinct("verdict") > 1).cast("int").alias(f"ambiguous_{side}")
+    )
+    f = _one_verdict(forward).select("prompt_id", F.col("verdict").alias("f"))
+    s = _one_verdict(swapped).select("prompt_id", F.col("verdict").alias("s"))
+    amb = counted(forward, "f").join(counted(swapped, "s"), "prompt_id", "full")
+    both = f.join(s, "prompt_id", "full").join(amb, "prompt_id", "full")
+    a_count = F.count_if(F.col("f") == "A") + F.count_if(F.col("s") == "A")
+    valid = F.count("f") + F.count("s")
+    return both.agg(
+        F.count_if(F.col("f").isNotNull() | F.col("s").isNotNull()).cast("long").alias("n_prompts"),
+        F.count_if(F.col("f").isNotNull() & F.col("s").isNotNull()).cast("long").alias("n_both"),
+        F.count_if(F.col("f") != F.col("s")).cast("long").alias("n_consistent"),
+        F.count_if((F.col("f") != F.col("s"))).alias("_c"),
+        F.count_if(F.col("f").isNotNull() & F.col("s").isNotNull()).alias("_b"),
+        a_count.alias("_a"), valid.alias("_v"),
+        F.count_if(F.col("f").isNull() & F.col("s").isNotNull()).cast("long").alias("missing_forward"),
+        F.count_if(F.col("s").isNull() & F.col("f").isNotNull()).cast("long").alias("missing_swapped"),
+        F.count_if((F.coalesce("ambiguous_f", F.lit(0)) + F.coalesce("ambiguous_s", F.lit(0))) > 0).cast("long").alias("ambiguous"),
+    ).select(
+        "n_prompts", "n_both", "n_consistent",
+        F.when(F.col("_b") > 0, F.col("_c") / F.col("_b")).alias("consistency"),
+        F.when(F.col("_v") > 0, F.col("_a") / F.col("_v")).alias("first_side_rate"),
+        "missing_forward", "missing_swapped", "ambiguous",
+    )

@@ -55,3 +55,31 @@ def test_kappa_of_one_class_and_empty(spark):
     assert A.rater_agreement(spark.createDataFrame([], RATINGS)).collect() == []
     apart = spark.createDataFrame([(1, "a", "y"), (2, "b", "y")], RATINGS)
     assert A.rater_agreement(apart).collect() == []
+
+
+def test_response_diagnostics(spark):
+    responses = spark.createDataFrame(
+        [(1, "a b c a b c a"), (2, None), (3, "one  two"), (3, "one  two"), (4, "x " * 20000), (5, "\x0bq\x0b")],
+        "doc_id long, text string",
+    )
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    got = sorted(A.response_diagnostics(responses, labels).collect(), key=lambda r: r.doc_id)
+    # a b c a b c a: trigrams abc bca cab abc bca -> two repeat an earlier one.
+    assert tuple(got[0]) == (1, 7, 3, 3 / 7, 2, 2 / 5, 1)
+    assert tuple(got[1]) == (2, 0, 0, None, 0, None, None)
+    assert tuple(got[2]) == tuple(got[3]) == (3, 2, 2, 1.0, 0, None, 0)
+    assert tuple(got[4])[:5] == (4, 20000, 1, 1 / 20000, 19997)
+    assert tuple(got[5])[:3] == (5, 1, 1)
+
+
+def test_position_bias(spark):
+    schema = "prompt_id long, verdict string"
+    forward = spark.createDataFrame([(1, "A"), (2, "B"), (3, "A"), (4, None), (5, "B"), (6, "A"), (6, "B"), (7, "A")], schema)
+    swapped = spark.createDataFrame([(1, "B"), (2, "B"), (3, None), (4, "A"), (5, "A"), (6, "A"), (7, "A"), (7, "A")], schema)
+    got = A.position_bias(forward, swapped).first()
+    # Pairs: 1 (A, B) consistent, 2 (B, B) not, 5 (B, A) consistent, 7 (A, A) not; 6 is ambiguous forward.
+    assert (got.n_prompts, got.n_both, got.n_consistent, got.consistency) == (7, 4, 2, 0.5)
+    assert (got.missing_forward, got.missing_swapped, got.ambiguous) == (2, 1, 1)
+    assert got.first_side_rate == 7 / 11  # one verdict per prompt and order: 3 of 5 forward, 4 of 6 swapped
+    empty = A.position_bias(spark.createDataFrame([], schema), spark.createDataFrame([], schema)).first()
+    assert (empty.n_prompts, empty.consistency, empty.first_side_rate) == (0, None, None)
