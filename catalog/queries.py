@@ -139,13 +139,14 @@ def _judgements(spark, sf):
     return E.parse_judgements(X.judge_replies(spark, sf))
 
 
-def _answers(spark, sf):
+def _answers(spark, sf, every_document=False):
+    """Both policies' answers; the second policy has none for a seventh of the prompts unless ``every_document``."""
     documents = X.table(spark, sf, "documents")
     sft = documents.select(
         F.col("doc_id").alias("prompt_id"), X.topic_prompt().alias("prompt"),
         F.col("text").alias("sft_answer"),
     )
-    ppo = documents.where(F.expr("doc_id % 7 <> 0")).select(
+    ppo = (documents if every_document else documents.where(F.expr("doc_id % 7 <> 0"))).select(
         F.col("doc_id").alias("prompt_id"), F.concat("text", F.lit(" "), "lang").alias("ppo_answer")
     )
     return sft, ppo
@@ -153,7 +154,7 @@ def _answers(spark, sf):
 
 @query
 def judge_requests(spark, sf):
-    sft, ppo = _answers(spark, sf)
+    sft, ppo = _answers(spark, sf, every_document=True)
     return E.judge_requests(sft.join(ppo, "prompt_id"))
 
 
