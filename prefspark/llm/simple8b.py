@@ -205,7 +205,9 @@ def write_token_table(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             yield segment()
 
     rows = documents_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # A repeated or null doc_id spreads by the start of its text: texts that differ there are
+    # ordered by it, equal starts share a part and are sorted in it, so the order stays (doc_id, text).
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     map_batches(ordered, encode, SEGMENTS).write.option("compression", "uncompressed").parquet(path)
 
 
