@@ -1,9 +1,10 @@
 """Secrets, and multipart credentials linked by an interval join within scopes.
 
-Strong candidates are reported alone. Weak ones (an identifier, a bare key-like string, an
-endpoint) are reported only where complementary parts lie within ``SCOPE`` characters of each
-other in one document. A scope never crosses documents, so the join runs inside a row: parts
-are sorted by start, and a binary search finds whether an interval has a partner.
+Strong candidates are reported alone. Weak ones (an identifier, a bare key-like string of 32
+or more base64 or url-safe characters with its padding, an endpoint) are reported only where
+complementary parts lie in one block of one document: the text between blank lines, of any
+length. A scope never crosses documents, so the join runs inside a row: block starts are
+sorted, and a binary search gives each part its block.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from prefspark.llm.common import arrow_schema, documents_of, map_batches, slices
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "identifier", "bare_secret", "endpoint")
-#: Characters between parts of one credential, at most.
-SCOPE = 200
+#: Parts of one credential lie in one block: text between blank lines.
+_BLOCK_BREAK = re.compile(r"\n[\x20\t\r]*\n")
 
 SPAN = T.StructType(
     [
@@ -45,10 +46,11 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
 # Weak parts, by role.
 _IDENTIFIER = re.compile(
-    r"""(?i:client_?id|account_?id|access_?key_?id|user_?name|login|user)["']?\x20{0,8}[:=]\x20{0,8}["']?[A-Za-z0-9@._-]{3,}""",
+    r"""(?i:client_?id|account_?id|access_?key_?id|user_?name|login|user)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""",
     re.ASCII,
 )
-_BARE_SECRET = re.compile(r"(?<![A-Za-z0-9/+=])[A-Za-z0-9/+]{32,64}(?![A-Za-z0-9/+=])")
+# Standard and url-safe base64 of any length from 32, with its padding.
+_BARE_SECRET = re.compile(r"(?<![A-Za-z0-9/+=_-])[A-Za-z0-9/+_-]{32,}={0,2}(?![A-Za-z0-9/+=_-])")
 _ENDPOINT = re.compile(r"""(?:https?|postgres|postgresql|mysql|mongodb|redis|amqp|amqps|ftp|s3)://[^\s"'<>]{3,}""")
 _ROLE = {"assign": "secret", "hex": "secret", "bare_secret": "secret", "access": "id", "identifier": "id", "endpoint": "endpoint"}
 
@@ -80,6 +82,16 @@ def _weak_spans(text: str) -> Iterator[tuple[str, int, int]]:
             yield "endpoint", m.start(), m.end()
 
 
+class _Blocks:
+    """Numbers of the blocks (text between blank lines) that spans touch."""
+
+    def __init__(self, text: str):
+        self.starts = [m.end() for m in _BLOCK_BREAK.finditer(text)]
+
+    def of(self, start: int, end: int) -> range:
+        return range(bisect_right(self.starts, start), bisect_right(self.starts, max(start, end - 1)) + 1)
+
+
 class _Intervals:
     """Sorted intervals, with how far any of the first ones reaches."""
 
@@ -90,7 +102,7 @@ class _Intervals:
         for _, end in ordered:
             self.reach.append(max(end, self.reach[-1]) if self.reach else end)
 
-    def near(self, start: int, end: int, scope: int = SCOPE) -> bool:
+    def near(self, start: int, end: int, scope: int = 0) -> bool:
         """Whether an interval lies within ``scope`` characters of this one."""
         before = bisect_right(self.starts, end + scope)
         return before > 0 and self.reach[before - 1] >= start - scope
@@ -99,9 +111,10 @@ class _Intervals:
 def secret_spans(text: str | None) -> list[tuple[str, int, int, int]]:
     """``kind, start, end, links`` by start, then kind as in ``KINDS``; code points, end exclusive.
 
-    ``links`` is the number of complementary roles in the span's scope. Base kinds are always
-    reported; a weak secret needs an identifier, an identifier a secret, an endpoint both.
-    Weak spans that overlap a span of their own role are left out.
+    ``links`` is the number of complementary roles in the span's block (the text between blank
+    lines, however long). Base kinds are always reported; a weak secret needs an identifier,
+    an identifier a secret, an endpoint both. Weak spans that overlap a span of their own role
+    are left out.
     """
     if not text:
         return []
@@ -114,10 +127,12 @@ def secret_spans(text: str | None) -> list[tuple[str, int, int, int]]:
     weak = [s for s in weak if not strong[_ROLE[s[0]]].near(s[1] + 1, s[2] - 1, 0)]
     for span in weak:
         by_role[_ROLE[span[0]]].append(span)
-    joined = {role: _Intervals(spans) for role, spans in by_role.items()}
+    blocks = _Blocks(text)
+    held = {role: {b for _, s, e in spans for b in blocks.of(s, e)} for role, spans in by_role.items()}
     found = []
     for kind, start, end in base + weak:
-        others = {role for role in by_role if role != _ROLE[kind] and joined[role].near(start, end)}
+        mine = blocks.of(start, end)
+        others = {role for role in by_role if role != _ROLE[kind] and any(b in held[role] for b in mine)}
         asked = {"identifier": {"secret"}, "bare_secret": {"id"}, "endpoint": {"id", "secret"}}.get(kind, set())
         if asked <= others:
             found.append((kind, start, end, len(others)))
