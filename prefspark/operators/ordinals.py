@@ -30,8 +30,15 @@ def _key(df: DataFrame, order_by: Sequence[str]) -> tuple[Column, T.StructType]:
     fields, types = [], []
     for i, name in enumerate(order_by):
         column, dtype = F.col(name), df.schema[name].dataType
-        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            column, dtype = F.unix_micros(column.cast("timestamp")), T.LongType()
+        if isinstance(dtype, T.TimestampType):
+            column, dtype = F.unix_micros(column), T.LongType()
+        elif isinstance(dtype, T.TimestampNTZType):
+            # Microseconds from the epoch, from the fields themselves: a cast through the session
+            # zone (and timestampdiff, which takes it too) runs backwards where clocks go back.
+            day = F.unix_date(column.cast("date")).cast("long") * 86_400_000_000
+            time = F.hour(column).cast("long") * 3_600_000_000 + F.minute(column).cast("long") * 60_000_000
+            second = (F.date_part(F.lit("SECOND"), column) * 1_000_000).cast("long")
+            column, dtype = day + time + second, T.LongType()
         elif isinstance(dtype, T.DateType):
             column, dtype = F.unix_date(column), T.IntegerType()
         elif not isinstance(dtype, (T.IntegralType, T.StringType)):
@@ -42,13 +49,16 @@ def _key(df: DataFrame, order_by: Sequence[str]) -> tuple[Column, T.StructType]:
 
 
 def _split_points(df: DataFrame, key: Column, buckets: int, rows: int) -> list[dict]:
-    """Up to ``buckets - 1`` ascending keys, evenly spaced in a bounded sample."""
+    """Up to ``buckets - 1`` ascending keys, evenly spaced in a sample of about ``buckets * 32`` keys.
+
+    The sample is a hash-chosen share of the distinct keys (one in ``rows // wanted``), taken
+    whole: a prefix of it would favour the first parts read.
+    """
     wanted = buckets * _SAMPLES_PER_BUCKET
     step = max(1, rows // wanted)
     sample = (
         df.select(key.alias("key"))
         .where(F.pmod(F.xxhash64("key"), F.lit(step)) == 0)
-        .limit(2 * wanted)
         .groupBy("key")
         .count()
         .orderBy("key")

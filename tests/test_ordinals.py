@@ -92,3 +92,22 @@ def test_a_long_chat_is_folded_in_parts(spark):
     assert [m["content"] for r in parts[:4] for m in r["messages"]] == [f"t{t}" for t in range(50)]
     answers = {r["conv_id"]: r["response"] for r in final_responses(frame).collect()}
     assert answers == {1: "t49", 2: "u"}
+
+
+def test_local_times_keep_their_order_across_clock_changes(spark):
+    import datetime as dt
+
+    from prefspark.operators.ordinals import _key
+
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        # 02:30 on 2024-03-31 doesn't exist in Berlin; 02:30 on 2024-10-27 exists twice.
+        times = [dt.datetime(2024, 3, 31, h, m) for h, m in ((1, 59), (2, 0), (2, 30), (3, 0))]
+        times += [dt.datetime(2024, 10, 27, h, m) for h, m in ((1, 59), (2, 30), (2, 59), (3, 0))]
+        df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+        key, _ = _key(df, ["t"])
+        got = [r[0] for r in df.select(key["k0"]).collect()]
+        assert got == sorted(got) and len(set(got)) == len(got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
