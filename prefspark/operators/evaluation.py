@@ -41,6 +41,19 @@ def judge_requests(answers: DataFrame) -> DataFrame:
     return answers.select("prompt_id", F.inline(requests))
 
 
+def one_per_prompt(table: DataFrame, name: str) -> DataFrame:
+    """``table`` as it is, or an error naming the first prompt it holds twice.
+
+    The check runs in the job that reads the table: its grouping is by ``prompt_id``, which
+    the joins that follow need anyway.
+    """
+    values = [c for c in table.columns if c != "prompt_id"]
+    grouped = table.groupBy("prompt_id").agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in values])
+    message = F.concat(F.lit(f"{name}: prompt "), F.coalesce(F.col("prompt_id").cast("string"), F.lit("null")),
+                       F.lit(" has "), F.col("_rows").cast("string"), F.lit(" rows; each prompt needs one"))
+    return grouped.where(F.assert_true(F.col("_rows") == 1, message).isNull()).select("prompt_id", *values)
+
+
 def paired_answers(
     sft_answers: DataFrame,
     ppo_answers: DataFrame,
@@ -48,12 +61,17 @@ def paired_answers(
     ratings: DataFrame,
     rewards: DataFrame,
 ) -> DataFrame:
-    """Both answers of each prompt with the judge's replies; a missing reply is null."""
+    """Both answers of each prompt with the judge's replies; a missing reply is null.
+
+    Every table must hold a prompt once: a doubled reply would count its verdict twice, so it
+    ends the job with an error that names the table and the prompt.
+    """
     return (
-        sft_answers.join(ppo_answers, "prompt_id")
-        .join(verdicts, "prompt_id", "left")
-        .join(ratings, "prompt_id", "left")
-        .join(rewards, "prompt_id", "left")
+        one_per_prompt(sft_answers, "first answers")
+        .join(one_per_prompt(ppo_answers, "second answers"), "prompt_id")
+        .join(one_per_prompt(verdicts, "verdicts"), "prompt_id", "left")
+        .join(one_per_prompt(ratings, "ratings"), "prompt_id", "left")
+        .join(one_per_prompt(rewards, "rewards"), "prompt_id", "left")
     )
 
 

@@ -130,3 +130,15 @@ def test_preference_reader_and_batch_sink(spark, tmp_path):
     assert written.count() == 7
     places = written.select("batch_id", F.input_file_name().alias("file")).distinct()
     assert sorted(r["batch_id"] for r in places.collect()) == [0, 1]
+
+
+def test_doubled_reply_is_an_error(spark):
+    answers = spark.createDataFrame([(1, "q", "a")], "prompt_id long, prompt string, sft_answer string")
+    second = spark.createDataFrame([(1, "b")], "prompt_id long, ppo_answer string")
+    verdicts = spark.createDataFrame([(1, "B"), (1, "B")], "prompt_id long, verdict_raw string")
+    ratings = spark.createDataFrame([(1, "4")], "prompt_id long, score_raw string")
+    rewards = spark.createDataFrame([(1, 3.0)], "prompt_id long, reward double")
+    with pytest.raises(Exception, match="verdicts: prompt 1 has 2 rows"):
+        E.paired_answers(answers, second, verdicts, ratings, rewards).collect()
+    single = E.paired_answers(answers, second, verdicts.limit(1), ratings, rewards).collect()
+    assert [(r.prompt_id, r.verdict_raw, r.score_raw, r.reward) for r in single] == [(1, "B", "4", 3.0)]
