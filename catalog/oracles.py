@@ -148,9 +148,12 @@ SELECT {_WINS}, {_SKIPPED}, count({_ERROR}) AS n_errors, {_r6(f'avg({_ERROR})')}
        count(verdict) AS evaluated_preferences, {_r6(f'({_RATE})')} AS ppo_win_rate
 FROM """
 
+# Every document gets both requests; only the paired table lacks the second answer of a seventh.
+_ALL_ANSWERS = _ANSWERS.replace(" WHERE doc_id % 7 <> 0", "")
+
 ORACLES |= {
     "judge_requests": _with(
-        _ANSWERS,
+        _ALL_ANSWERS,
         select=f"""
 SELECT prompt_id, 'preference' AS kind, '{D.PREFERENCE_SYSTEM}' AS system,
        concat('Question:', chr(10), prompt, chr(10), chr(10), 'Answer A:', chr(10), sft_answer,
