@@ -59,19 +59,21 @@ def winrate_bootstrap(judgements: DataFrame, replicates: int = 1000, level: floa
     sums = drawn.select("r", (weight * F.col("n")).alias("n"), (weight * F.col("wins")).alias("wins")).groupBy("r").agg(
         F.sum("n").alias("n"), F.sum("wins").alias("wins")
     )
-    rates = sums.select(F.when(F.col("n") > 0, F.col("wins") / F.col("n")).alias("rate"))
+    rates = sums.select(F.when(F.col("n") > 0, F.col("wins") / F.col("n")).alias("rate"), F.lit(None).cast("int").alias("win"))
+    # Point counts and replicate rates in one aggregation: the verdict rows carry no rate.
+    rows = rates.unionByName(valid.select(F.lit(None).cast("double").alias("rate"), "win"))
     low, high = (1 - level) / 2, 1 - (1 - level) / 2
-    spread = rates.agg(
-        (F.lit(replicates) - F.count("rate")).alias("empty_replicates"),
+    found = rows.agg(
+        F.count("win").cast("long").alias("evaluated_preferences"),
+        F.coalesce(F.sum("win"), F.lit(0)).cast("long").alias("ppo_wins"),
+        (F.lit(replicates) - F.count("rate")).cast("long").alias("empty_replicates"),
         F.percentile("rate", F.array(F.lit(low), F.lit(high))).alias("ends"),
         F.stddev_samp("rate").alias("std_error"),
     )
-    point = valid.agg(F.count(F.lit(1)).cast("long").alias("evaluated_preferences"), F.coalesce(F.sum("win"), F.lit(0)).cast("long").alias("ppo_wins"))
-    return point.crossJoin(spread).select(
+    return found.select(
         "evaluated_preferences", "ppo_wins",
         F.when(F.col("evaluated_preferences") > 0, F.col("ppo_wins") / F.col("evaluated_preferences")).alias("ppo_win_rate"),
-        F.lit(replicates).cast("long").alias("replicates"),
-        F.col("empty_replicates").cast("long").alias("empty_replicates"),
+        F.lit(replicates).cast("long").alias("replicates"), "empty_replicates",
         F.col("ends")[0].alias("ci_low"), F.col("ends")[1].alias("ci_high"), "std_error",
     )
 
