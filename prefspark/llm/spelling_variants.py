@@ -138,9 +138,10 @@ def near_pairs(vocab: DataFrame, target_block: int = TARGET_BLOCK, query_block:
         F.ceil((F.col("v") + F.coalesce("v_short", F.lit(0))) / query_block).cast("int").alias("qb"),
     )
     plan = durable(plan)  # one row per word length: its size is bounded by the longest word
+    # Keys of a cogroup must have one type on both sides: equal ints and longs hash to different partitions.
     targets = vocab.join(F.broadcast(plan), "size").select(
         "word", "size",
-        F.pmod(F.xxhash64("word"), F.col("tb")).alias("t"),
+        F.pmod(F.xxhash64("word"), F.col("tb")).cast("int").alias("t"),
         F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("q"),
     )
     # Fresh names on the query side, so that both sides of the cogroup don't share columns.
@@ -148,7 +149,7 @@ def near_pairs(vocab: DataFrame, target_block: int = TARGET_BLOCK, query_block:
     queries = as_query.join(F.broadcast(plan), "size").select(
         F.col("query").alias("word"), "size",
         F.explode(F.sequence(F.lit(0), F.col("tb") - 1)).alias("t"),
-        F.pmod(F.xxhash64("word"), F.col("qb")).alias("q"),
+        F.pmod(F.xxhash64("word"), F.col("qb")).cast("int").alias("q"),
     )
     ship_library(vocab.sparkSession)
     found = targets.groupBy("size", "t", "q").cogroup(queries.groupBy("size", "t", "q")).applyInPandas(_searcher, PAIRS)

@@ -85,6 +85,17 @@ def test_against_all_pairs(spark):
     assert run(spark, rows, target_block=3, query_block=2) == want
 
 
+def test_blocks_meet_over_separate_partitions(spark):
+    # Without merged partitions, a block's targets and queries meet only if their keys hash alike.
+    rnd = random.Random(5)
+    rows = [(None, " ".join("".join(rnd.choice("abc") for _ in range(rnd.randint(5, 6))) for _ in range(60))) for _ in range(40)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert run(spark, rows, target_block=40, query_block=30) == plain(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_chains_ties_and_long_runs(spark):
     # abcde (3) -> abcdx (6) -> abcxx? no: abcdy (12); ties of equal n go to the smaller word.
     rows = [(None, "abcde " * 3 + "abcdx " * 6 + "abcdy " * 12 + "zzzzz " * 3 + "zzzza " * 6 + "zzzzb " * 6)]
