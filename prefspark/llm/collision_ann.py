@@ -13,10 +13,10 @@ Method (query-aware collision counting with virtual rehashing):
    sorted array each.
 4. Search: queries (``vec_id % 20 == 0``) in blocks of ``query_block`` rows meet every shard,
    one task per (shard, block). Around a query's own projection value each sorted array gets
-   a window of half-width ``w * R / 2``; virtual rehashing widens ``R`` by ``c`` each round,
-   adding only the new ends of each window. Every array whose window holds a vector is one
-   collision; at ``threshold`` collisions the vector becomes a candidate and is verified by
-   its exact inner product in double precision. The search of a query in a shard stops once
+   a window of half-width ``w * R / 2``; virtual rehashing widens ``R`` by ``c`` each round.
+   Every array whose window holds a vector is one collision; at ``threshold`` collisions the
+   vector becomes a candidate and is verified by its inner product in double precision
+   (summed row by row for those returned, so that equal vectors tie). The search of a query in a shard stops once
    ``k`` verified candidates lie within distance ``R`` (every vector that close collides in a
    share ``p1 = P(|Z| <= w/2)`` of arrays on average, and so has passed the threshold with high
    probability), or when the windows hold the whole shard: then every vector is verified.
@@ -53,6 +53,8 @@ SEED = 20240611
 #: Largest shard and query block: bound the memory of one task.
 SHARD_ROWS = 16384
 QUERY_BLOCK = 1024
+#: Queries of a block that are searched together: bounds the matrix of their inner products.
+QUERIES_AT_ONCE = 64
 
 RESULT = T.StructType(
     [
@@ -99,46 +101,61 @@ def search_shard(
     order = np.argsort(values, axis=0, kind="stable").T  # (m, n): a sorted array per projection
     ordered = np.take_along_axis(values.T, order, axis=1)
     m = directions.shape[0]
+    # The place of every vector in every sorted array: it lies in a window if lo <= place < hi.
+    places = np.empty((m, n), dtype=np.uint16 if n < 1 << 16 else np.uint32)
+    np.put_along_axis(places, order, np.arange(n, dtype=places.dtype)[None, :], axis=1)
+    shifted, inside = np.empty_like(places), np.empty((m, n), dtype=bool)
+    counted = np.uint8 if m < 256 else np.uint32
+    by_row = {int(r): i for i, r in enumerate(rows)}
     out = []
-    for qi, q in enumerate(queries):
-        at = q @ directions[:, :-1].T  # the query's extra component is 0
-        qq = float(q @ q)
-        counts = np.zeros(n, dtype=np.int32)
-        verified = np.zeros(n, dtype=bool)
-        verified[rows == query_rows[qi]] = True  # the query's own row takes no part
-        found_pos: list[np.ndarray] = []
-        found_score: list[np.ndarray] = []
-        lo = np.array([np.searchsorted(ordered[j], at[j]) for j in range(m)])
-        hi = lo.copy()
-        radius = max(top - math.sqrt(qq), top / 256.0)
-        while True:
-            half = WIDTH * radius / 2
-            new_lo = np.array([np.searchsorted(ordered[j], at[j] - half, "left") for j in range(m)])
-            new_hi = np.array([np.searchsorted(ordered[j], at[j] + half, "right") for j in range(m)])
-            parts = [order[j, new_lo[j] : lo[j]] for j in range(m)] + [order[j, hi[j] : new_hi[j]] for j in range(m)]
-            added = np.concatenate(parts)
-            lo, hi = new_lo, new_hi
-            whole = bool((lo == 0).all() and (hi == n).all())
-            if len(added):
-                counts += np.bincount(added, minlength=n).astype(np.int32)
-            fresh = np.flatnonzero(((counts >= threshold) | whole) & ~verified)
-            if len(fresh):
-                verified[fresh] = True
-                found_pos.append(fresh)
-                found_score.append(data[fresh] @ q)
-            if whole:
-                break
-            if found_score:
-                scores = np.concatenate(found_score)
-                within = qq + top * top - 2 * scores <= radius * radius
-                if int(within.sum()) >= k:
-                    break
-            radius *= GROWTH
-        if found_pos:
-            pos = np.concatenate(found_pos)
-            scores = np.concatenate(found_score)
-            best = np.argsort(-scores, kind="stable")[: k * 4]
-            out.append((qi, pos[best], scores[best]))
+    for first in range(0, len(queries), QUERIES_AT_ONCE):
+        some = queries[first : first + QUERIES_AT_ONCE]
+        at = some @ directions[:, :-1].T  # a query's extra component is 0
+        qq = np.einsum("ij,ij->i", some, some)
+        # Inner products of the whole block at once; only those of candidates are used.
+        products = some @ data.T
+        radius = np.maximum(top - np.sqrt(qq), top / 256.0)
+        active = np.arange(len(some))
+        while len(active):
+            half = WIDTH * radius[active] / 2
+            lo = np.stack([np.searchsorted(ordered[j], at[active, j] - half, "left") for j in range(m)], axis=1)
+            hi = np.stack([np.searchsorted(ordered[j], at[active, j] + half, "right") for j in range(m)], axis=1)
+            held = (hi - lo).sum(axis=1)
+            going = []
+            for i, l, h, total in zip(active, lo, hi, held):
+                whole = total == m * n
+                if not whole and total < k * threshold:  # too few collisions for k candidates
+                    going.append(i)
+                    continue
+                if whole:
+                    found = np.ones(n, dtype=bool)
+                elif total < n:
+                    hits = np.concatenate([order[j, l[j] : h[j]] for j in range(m)])
+                    found = np.bincount(hits, minlength=n) >= threshold
+                else:
+                    # Places below ``lo`` wrap around to large numbers, so one comparison does.
+                    width = np.minimum(h - l, np.iinfo(places.dtype).max).astype(places.dtype)
+                    np.subtract(places, l.astype(places.dtype)[:, None], out=shifted)
+                    np.less(shifted, width[:, None], out=inside)
+                    found = np.add.reduce(inside.view(np.uint8), axis=0, dtype=counted) >= threshold
+                own = by_row.get(int(query_rows[first + i]))
+                if own is not None:  # the query's own row takes no part
+                    found[own] = False
+                pos = np.flatnonzero(found)
+                near = products[i, pos]
+                if not whole and np.count_nonzero(qq[i] + top * top - 2 * near <= radius[i] * radius[i]) < k:
+                    going.append(i)
+                    continue
+                if len(pos) > k:
+                    # All that may tie with the k-th stay: the caller breaks ties by id.
+                    slack = 1e-14 * max(data.shape[1], 16) * top * math.sqrt(qq[i])
+                    pos = pos[near >= np.partition(near, -k)[-k] - slack]
+                if len(pos):
+                    # Row by row, so that equal vectors get equal scores wherever they lie; a
+                    # matrix product rounds them apart and would decide ties.
+                    out.append((first + i, pos, (data[pos] * some[i]).sum(axis=1)))
+            active = np.array(going, dtype=np.int64)
+            radius[active] *= GROWTH
     return out
 
 
@@ -200,15 +217,16 @@ def nearest_neighbours(
     blocks = max(1, math.ceil(stats["n_queries"] / query_block))
     directions = projections(stats["dimension"], projection_count)
     threshold = math.ceil(THRESHOLD_SHARE * projection_count)
+    # Keys of a cogroup must have one type on both sides: equal ints and longs hash to different partitions.
     data = valid.select(
         "vec_id", "vector", "row",
-        F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"),
+        F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
     queries = valid.where(F.pmod("vec_id", F.lit(every)) == 0).select(
         "vec_id", "vector", "row",
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"),
+        F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"),
     )
     ship_library(spark)
     found = (

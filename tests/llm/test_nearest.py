@@ -72,6 +72,27 @@ def test_odd_vectors_repeats_and_few_partners(spark):
     assert sorted({r.query_row for r in got if r.query_id == 20}).__len__() == 2
 
 
+def test_blocks_meet_over_separate_partitions(spark):
+    # Without merged partitions, a shard and a query block meet only if their keys hash alike.
+    made = np.random.default_rng(4).standard_normal((400, 8))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(made)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = run(spark, rows, shard_rows=70, query_block=4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {(rows[i][0], vid) for i, best in brute(rows).items() for vid, _ in best}
+    assert len(got) == len(want) and len(want & {(r.query_id, r.vec_id) for r in got}) >= 0.9 * len(want)
+
+
+def test_many_copies_tie_by_id(spark):
+    # 150 copies, in descending order of id: the 20 smallest ids are the answer.
+    vector = [float(x) for x in np.random.default_rng(6).standard_normal(64)]
+    rows = [(i, vector) for i in range(150, 0, -1)] + [(0, vector)]
+    got = run(spark, rows)
+    assert [r.vec_id for r in got if r.query_id == 0] == list(range(1, 21))
+
+
 def test_empty_and_no_queries(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, [1.0]), (3, [2.0])]) == []
