@@ -2,7 +2,8 @@
 
 The dictionary holds all words, or the ``size`` most frequent ones. Its bytes are
 measured; up to ``BROADCAST_BYTES`` each task gets all of it and no token is shuffled.
-Above that, tokens are joined to it by a shuffle.
+Above that, each task gets its head, the most frequent words that fit; only the occurrences
+of other words, which are rare ones, are joined to the rest by a shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from prefspark.storage import durable
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 _ENTRY_BYTES = 64
-_SALTS = 16
 _RANKING_SLICES = 256
 
 
@@ -75,7 +75,7 @@ def _slots(entries: int) -> int:
     return max(1, entries)
 
 
-def _token_maps(vocabulary: DataFrame, slots: int) -> Column:
+def token_maps(vocabulary: DataFrame, slots: int) -> Column:
     """The dictionary as one value: an array of small maps addressed by token hash.
 
     Spark looks a key up in a map by walking its entries, so one large map would cost its
@@ -108,55 +108,88 @@ def encode_tokens(
     """
     entries, size = _entries_and_bytes(vocabulary)
     if size > broadcast_bytes:
-        for text, ids in columns.items():
-            df = _encode_by_join(df, text, ids, vocabulary, key)
-        return df
+        head = _head(entries, size, broadcast_bytes)
+        return _encode_by_join(df, columns, vocabulary, head)
+    return _look_up(df, columns, vocabulary, entries, F.lit(D.UNK_ID))
+
+
+def _head(entries: int, size: int, broadcast_bytes: int) -> int:
+    """Ids below this number are few enough for every task; words are numbered by frequency."""
+    return min(entries, entries * broadcast_bytes // max(size, 1))
+
+
+def _look_up(
+    df: DataFrame, columns: dict[str, str], vocabulary: DataFrame, entries: int, missing: Column
+) -> DataFrame:
+    """Ids by a dictionary that every task holds."""
     slots = _slots(entries)
     maps = F.col("_maps")
 
     def lookup(token: Column) -> Column:
-        return F.coalesce(
-            F.get(maps, F.pmod(F.hash(token), F.lit(slots)))[token],
-            F.lit(D.UNK_ID),
-        )
+        return F.coalesce(F.get(maps, F.pmod(F.hash(token), F.lit(slots)))[token], missing)
 
-    coded = df.withColumn("_maps", _token_maps(vocabulary, slots))
+    coded = df.withColumn("_maps", token_maps(vocabulary, slots))
     return coded.withColumns(
         {ids: F.transform(split_tokens(F.col(text)), lookup) for text, ids in columns.items()}
     ).drop("_maps")
 
 
-def _salt() -> Column:
-    return F.pmod(F.xxhash64("_row", "_pos"), F.lit(_SALTS)).cast("int")
+_SHIFT = 1 << 32
+_ZERO = 1 << 31
+
 
+def _packed(position: Column, number: Column) -> Column:
+    """Position and id as one long that sorts by position."""
+    return position.cast("long") * F.lit(_SHIFT) + number.cast("long") + F.lit(_ZERO)
 
-def _salted(vocabulary: DataFrame) -> DataFrame:
-    """The dictionary once per salt, under names no caller's column has."""
-    return vocabulary.select(
-        F.col("token").alias("_token"),
-        F.col("id").alias("_id"),
-        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"),
-    ).hint("shuffle_merge")
+
+def _unpacked(value: Column) -> Column:
+    return (F.pmod(value, F.lit(_SHIFT)) - F.lit(_ZERO)).cast("int")
 
 
 def _encode_by_join(
-    df: DataFrame, text: str, ids: str, vocabulary: DataFrame, key: str
+    df: DataFrame, columns: dict[str, str], vocabulary: DataFrame, head: int
 ) -> DataFrame:
-    """Same result with a shuffle join, frequent tokens spread over salts by row and position.
+    """Same result; words outside the head are joined to the rest of the dictionary.
 
-    Rows are stored with a number of their own: ``key`` may be null or shared by rows.
+    Rows are stored with a number of their own: a caller's key may be null or shared by rows.
     """
-    df = durable(df.withColumn("_row", F.monotonically_increasing_id()))
-    tokens = df.select("_row", F.posexplode(split_tokens(F.col(text))).alias("_pos", "_token")).withColumn("_salt", _salt())
-    place = F.struct("_pos", F.coalesce("_id", F.lit(D.UNK_ID)).alias("_id"))
-    coded = (
-        tokens.join(_salted(vocabulary), ["_token", "_salt"], "left")
+    nothing = F.lit(None).cast("int")
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    df = durable(_look_up(numbered, columns, vocabulary.where(F.col("id") < head), head, nothing))
+
+    def rare(column: int, text: str, ids: str) -> Column:
+        left = F.zip_with(split_tokens(F.col(text)), F.col(ids), lambda t, i: F.when(i.isNull(), t))
+        placed = F.transform(
+            left,
+            lambda t, at: F.struct(F.lit(column).alias("_column"), at.alias("_pos"), t.alias("_token")),
+        )
+        empty = F.filter(placed, lambda p: p["_token"].isNotNull())
+        return F.coalesce(empty, F.array().cast("array<struct<_column:int,_pos:int,_token:string>>"))
+
+    tokens = df.select(
+        "_row", F.inline(F.concat(*[rare(c, *names) for c, names in enumerate(columns.items())]))
+    )
+    rest = vocabulary.where(F.col("id") >= head).select(
+        F.col("token").alias("_token"), F.col("id").alias("_id")
+    )
+    place = _packed(F.col("_pos"), F.coalesce("_id", F.lit(D.UNK_ID)))
+    found = (
+        tokens.join(rest.hint("shuffle_merge"), "_token", "left")
         .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(place)).alias("_coded"))
-        .select("_row", F.transform("_coded", lambda c: c.getField("_id")).alias(ids))
+        .agg(*[F.collect_list(F.when(F.col("_column") == c, place)).alias(f"_found{c}") for c in range(len(columns))])
+    )
+
+    def whole(column: int, ids: str) -> Column:
+        known = F.filter(F.transform(F.col(ids), lambda i, at: _packed(at, i)), lambda p: p.isNotNull())
+        more = F.coalesce(F.col(f"_found{column}"), F.array().cast("array<bigint>"))
+        return F.transform(F.sort_array(F.concat(known, more)), _unpacked)
+
+    return (
+        df.join(found, "_row", "left")
+        .withColumns({ids: whole(c, ids) for c, ids in enumerate(columns.values())})
+        .drop("_row", *[f"_found{c}" for c in range(len(columns))])
     )
-    known = F.when(F.col(text).isNotNull(), F.coalesce(ids, F.array().cast("array<int>")))
-    return df.join(coded, "_row", "left").withColumn(ids, known).drop("_row")
 
 
 def decode_tokens(
@@ -171,35 +204,52 @@ def decode_tokens(
     entries, size = _entries_and_bytes(vocabulary)
     places = (vocabulary.agg(F.max("id")).first()[0] or 0) + 1
     if size > broadcast_bytes or places > 2 * entries:
-        return _decode_by_join(df, ids, text, vocabulary, key)
-    # Position in the array is the id; special tokens and ids that nothing has are null there.
+        return _decode_by_join(df, ids, text, vocabulary, _head(entries, size, broadcast_bytes))
+    joined = F.array_join(F.transform(F.col(ids), lambda i: F.get(F.col("_words"), i)), " ")
+    return df.withColumn("_words", _words_by_id(vocabulary, places)).withColumn(text, strip_text(joined)).drop("_words")
+
+
+def _words_by_id(vocabulary: DataFrame, places: int) -> Column:
+    """The words of the ids below ``places`` as one array.
+
+    Position in the array is the id; special tokens and ids that nothing has are null there.
+    """
     named = vocabulary.select("id", F.when(~F.col("special"), F.col("token")).alias("token"))
     all_ids = vocabulary.sparkSession.range(places).select(F.col("id").cast("int").alias("id"))
     ordered = F.array_sort(F.collect_list(F.struct("id", "token")))
-    words = (
+    return (
         all_ids.join(named, "id", "left").agg(ordered.alias("w"))
         .select(F.transform("w", lambda w: w.getField("token")))
         .scalar()
     )
-    joined = F.array_join(F.transform(F.col(ids), lambda i: F.get(F.col("_words"), i)), " ")
-    return df.withColumn("_words", words).withColumn(text, strip_text(joined)).drop("_words")
 
 
 def _decode_by_join(
-    df: DataFrame, ids: str, text: str, vocabulary: DataFrame, key: str
+    df: DataFrame, ids: str, text: str, vocabulary: DataFrame, head: int
 ) -> DataFrame:
-    words = F.transform("_words", lambda w: w.getField("_token"))
+    """Same result; ids outside the head are joined to the rest of the dictionary."""
     df = durable(df.withColumn("_row", F.monotonically_increasing_id()))
-    decoded = (
-        df.select("_row", F.posexplode(ids).alias("_pos", "_id"))
-        .withColumn("_salt", _salt())
-        .join(_salted(vocabulary.where(~F.col("special"))), ["_id", "_salt"])
+    placed = F.transform(F.col(ids), lambda i, at: F.struct(at.alias("_pos"), i.alias("_id")))
+    rare = F.filter(placed, lambda p: (p["_id"] >= head) | (p["_id"] < 0))
+    rest = vocabulary.where(~F.col("special") & ((F.col("id") >= head) | (F.col("id") < 0))).select(
+        F.col("id").alias("_id"), F.col("token").alias("_token")
+    )
+    found = (
+        df.select("_row", F.inline(rare))
+        .join(rest.hint("shuffle_merge"), "_id")
         .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "_token"))).alias("_words"))
-        .select("_row", strip_text(F.array_join(words, " ")).alias(text))
+        .agg(F.collect_list(F.struct("_pos", "_token")).alias("_found"))
+    )
+    words = F.col("_words")
+    known = F.transform(
+        F.col(ids), lambda i, at: F.struct(at.alias("_pos"), F.get(words, i).alias("_token"))
     )
+    known = F.filter(known, lambda w: w["_token"].isNotNull())
+    more = F.coalesce("_found", F.array().cast("array<struct<_pos:int,_token:string>>"))
+    ordered = F.transform(F.sort_array(F.concat(known, more)), lambda w: w["_token"])
     return (
-        df.join(decoded, "_row", "left")
-        .withColumn(text, F.when(F.col(ids).isNotNull(), F.coalesce(text, F.lit(""))))
-        .drop("_row")
+        df.join(found, "_row", "left")
+        .withColumn("_words", _words_by_id(vocabulary.where(F.col("id") < head), head))
+        .withColumn(text, strip_text(F.array_join(ordered, " ")))
+        .drop("_row", "_words", "_found")
     )

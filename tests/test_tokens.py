@@ -196,6 +196,20 @@ def test_both_paths_agree_on_odd_rows(spark):
     assert plain(decoded[0]) == plain(decoded[1]) and decoded[0].count() == len(rows)
 
 
+def test_only_words_outside_the_head_are_joined(spark):
+    """A dictionary of which only the head fits a task: same ids and texts, no copies of it per salt."""
+    rows = [(i % 7 if i % 5 else None, " ".join(["a"] * 9 + [f"w{(i * j) % 23}" for j in range(i % 12)]), None if i % 4 == 0 else f"a b{i}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "k long, text string, other string")
+    words = V.build_vocabulary(frame, "text")
+    names = {"text": "ids", "other": "more"}
+    plain = lambda f: sorted(map(str, f.collect()))
+    coded = [V.encode_tokens(frame, names, words, "k", broadcast_bytes=b) for b in (700, 0, 1 << 25)]
+    assert plain(coded[0]) == plain(coded[2]) and plain(coded[1]) == plain(coded[2])
+    decoded = [V.decode_tokens(coded[2], "ids", "back", words, "k", broadcast_bytes=b) for b in (700, 0, 1 << 25)]
+    assert plain(decoded[0]) == plain(decoded[2]) and plain(decoded[1]) == plain(decoded[2])
+    assert all("_salt" not in f._jdf.queryExecution().toString() for f in (coded[0], decoded[0]))
+
+
 def test_batches_neither_lose_nor_double_rows(spark):
     labelled = spark.createDataFrame([(1, [5], [5]), (1, [6, 7], [6, 7]), (2, [8], [8]), (None, [9], [9])], "pair_id long, input_ids array<int>, labels array<int>")
     rows = S.padded_batches(labelled, 2).collect()
