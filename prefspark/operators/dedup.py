@@ -1,17 +1,21 @@
 """Train/test deduplication: normalised exact copies, and near copies by a set-similarity join.
 
 Near copies are found with prefix filtering: every distinct text becomes the set of its
-word shingles; shingles are ordered by how many texts hold them (rarest first, ties by value);
-two sets with Jaccard similarity ``t`` or more share a shingle among the first
-``n - ceil(t n) + 1`` of each. Only those prefixes are joined, and only train against test
-(bipartite), then every candidate pair is confirmed on its full sets.
+word shingles, kept as 64-bit hashes (one per shingle, so a collision inside a text loses
+nothing). In any fixed order of the hashes, two sets with Jaccard similarity ``t`` or more share
+one among the first ``n - ceil(t n) + 1`` of each. The order puts frequent shingles last, as
+counted in a bounded, hash-chosen share of the texts, then goes by hash: the share decides how
+many candidates there are, never which pairs are found. Prefixes are cut inside their row, so
+only they are shuffled, a fifth of all shingles. They are joined train against test
+(bipartite), then every candidate pair is confirmed on the full sets of its two texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prefspark.operators.vocabulary import token_maps
 from prefspark.storage import durable
 
 
@@ -39,6 +43,27 @@ def shingles(words: Column, size: int) -> Column:
     return F.transform(F.array(words), of)[0]
 
 
+#: Texts whose shingles are counted for the order of the prefixes, and how many of these a task holds.
+ORDER_TEXTS = 20_000
+ORDER_SHINGLES = 50_000
+ORDER_LEAST = 8
+
+
+def _hashes(norm: Column, size: int) -> Column:
+    return F.transform(shingles(words_of(norm), size), lambda g: F.xxhash64(g))
+
+
+def _frequent(rows: DataFrame, texts: DataFrame, size: int) -> tuple[Column, int]:
+    """Counts of the shingles that many texts of a bounded share hold, as maps by hash."""
+    step = max(1, texts.count() // ORDER_TEXTS)
+    share = texts.where(F.pmod(F.xxhash64("row"), F.lit(step)) == 0).select("row")
+    counted = rows.select("row", "norm").join(share, "row", "left_semi").select(F.explode(_hashes(F.col("norm"), size)).alias("token"))
+    counted = counted.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("id")).where(F.col("id") >= ORDER_LEAST)
+    held = durable(counted.orderBy(F.desc("id"), "token").limit(ORDER_SHINGLES))
+    slots = max(1, held.count())
+    return token_maps(held, slots), slots
+
+
 def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pct: int = 80) -> DataFrame:
     """Per test row: doc_id, n_exact, n_near, first_train_id, contaminated.
 
@@ -49,35 +74,55 @@ def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pc
     among both, null without any. Repeated rows count as often as they occur; a null
     ``doc_id`` is carried as it is; other columns are ignored.
     """
-    tr = train.select(train["doc_id"].alias("doc_id"), normalised(train["text"]).alias("norm"))
-    te = test.select(test["doc_id"].alias("doc_id"), normalised(test["text"]).alias("norm"))
-    # Distinct texts of each side, with how many train rows hold them and the least id.
-    train_texts = durable(tr.groupBy("norm").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"))
-                          .select(F.sha2("norm", 256).alias("key"), "norm", "copies", "least_id"))
-    test_texts = durable(te.select(F.sha2("norm", 256).alias("key"), "norm").dropDuplicates(["key"]))
-    texts = train_texts.select("key", F.lit(True).alias("train"), "norm").unionByName(test_texts.select("key", F.lit(False).alias("train"), "norm"))
-    worded = texts.select("key", "train", words_of(F.col("norm")).alias("w"))
-    sets = durable(worded.select("key", "train", shingles(F.col("w"), size).alias("s")).where(F.size("s") > 0))
-    tokens = sets.select("key", "train", F.size("s").alias("n"), F.explode("s").alias("token"))
-    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("train", "key").orderBy("df", "token")
-    need = F.expr(f"n - ({similarity_pct} * n + 99) div 100 + 1")  # n - ceil(t n) + 1, in integers
-    prefixes = durable(tokens.join(frequency, "token").withColumn("at", F.row_number().over(order)).where(F.col("at") <= need).select("key", "train", "n", "token"))
-    a = prefixes.where("train").select(F.col("key").alias("train_key"), F.col("n").alias("na"), "token")
-    b = prefixes.where(~F.col("train")).select(F.col("key").alias("test_key"), F.col("n").alias("nb"), "token")
+    def side(df: DataFrame, is_train: bool) -> DataFrame:
+        return df.select(F.lit(is_train).alias("train"), df["doc_id"].alias("doc_id"), normalised(df["text"]).alias("norm"))
+
+    # Every row is stored once, with a number; texts are told apart by their key.
+    both = side(train, True).unionByName(side(test, False)).withColumn("row", F.monotonically_increasing_id())
+    rows = durable(both.withColumn("key", F.sha2("norm", 256)))
+    # Distinct texts of each side, with how many rows hold them and the least id; the least row stands for them.
+    texts = durable(rows.groupBy("train", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"), F.min("row").alias("row")))
+    frequent, slots = _frequent(rows, texts, size)
+    hashed = rows.select("row", _hashes(F.col("norm"), size).alias("h")).where(F.size("h") > 0)
+    hashed = hashed.withColumn("_maps", frequent)
+    seen = lambda h: F.get(F.col("_maps"), F.pmod(F.hash(h), F.lit(slots)))[h]
+    marked = F.transform("h", lambda h: F.struct(seen(h).alias("df"), h.alias("h")))
+    need = F.expr(f"size(h) - ({similarity_pct} * size(h) + 99) div 100 + 1").cast("int")  # n - ceil(t n) + 1, in integers
+
+    def prefix(m: Column) -> Column:
+        rare = F.sort_array(F.transform(F.filter(m, lambda x: x["df"].isNull()), lambda x: x["h"]))
+        known = F.sort_array(F.filter(m, lambda x: x["df"].isNotNull()))
+        return F.slice(F.concat(rare, F.transform(known, lambda x: x["h"])), F.lit(1), need)
+
+    prefixes = hashed.select("row", F.size("h").alias("n"), F.transform(F.array(marked), prefix)[0].alias("tokens"))
+    prefixes = durable(texts.select("row", "train").join(prefixes, "row"))
+    tokens = prefixes.select("row", "train", "n", F.explode(F.array_distinct("tokens")).alias("token"))
+    a = tokens.where("train").select(F.col("row").alias("train_row"), F.col("n").alias("na"), "token")
+    b = tokens.where(~F.col("train")).select(F.col("row").alias("test_row"), F.col("n").alias("nb"), "token")
     # Sizes of similar sets differ by at most the share: 100 * min >= pct * max.
-    candidates = a.join(b, "token").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity_pct).select("train_key", "test_key").distinct()
-    full_a = sets.where("train").select(F.col("key").alias("train_key"), F.col("s").alias("sa"))
-    full_b = sets.where(~F.col("train")).select(F.col("key").alias("test_key"), F.col("s").alias("sb"))
-    inter = F.size(F.array_intersect("sa", "sb"))
-    confirmed = candidates.join(full_a, "train_key").join(full_b, "test_key").where(
-        inter * 100 >= (F.size("sa") + F.size("sb") - inter) * similarity_pct
-    ).select("train_key", "test_key")
-    near = confirmed.join(train_texts.select(F.col("key").alias("train_key"), "copies", "least_id"), "train_key").groupBy("test_key").agg(
+    candidates = durable(a.join(b, "token").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity_pct).select("train_row", "test_row").distinct())
+    named = durable(candidates.select(F.explode(F.array("train_row", "test_row")).alias("row")).distinct())
+    full = durable(rows.select("row", "norm").join(named, "row", "left_semi"))
+    full_a = full.select(F.col("row").alias("train_row"), F.col("norm").alias("norm_a"))
+    full_b = full.select(F.col("row").alias("test_row"), F.col("norm").alias("norm_b"))
+    of = lambda norm: shingles(words_of(F.col(norm)), size)
+    similar = F.transform(
+        F.array(F.struct(of("norm_a").alias("a"), of("norm_b").alias("b"))),
+        lambda s: F.struct((F.size(s["a"]) + F.size(s["b"])).alias("sum"), F.size(F.array_intersect(s["a"], s["b"])).alias("inter")),
+    )[0]
+    confirmed = (
+        candidates.join(full_a, "train_row").join(full_b, "test_row")
+        .select("train_row", "test_row", F.transform(F.array(similar), lambda s: s["inter"] * 100 >= (s["sum"] - s["inter"]) * similarity_pct)[0].alias("near"))
+        .where("near")
+    )
+    train_texts = texts.where("train")
+    test_keys = texts.where(~F.col("train")).select(F.col("row").alias("test_row"), F.col("key").alias("test_key"))
+    te = rows.where(~F.col("train"))
+    near = confirmed.join(train_texts.select(F.col("row").alias("train_row"), "copies", "least_id"), "train_row").join(test_keys, "test_row").groupBy("test_key").agg(
         F.sum("copies").alias("n_near"), F.min("least_id").alias("near_id")
     )
     exact = train_texts.select(F.col("key").alias("test_key"), F.col("copies").alias("n_exact"), F.col("least_id").alias("exact_id"))
-    found = te.select("doc_id", F.sha2("norm", 256).alias("test_key")).join(exact, "test_key", "left").join(near, "test_key", "left")
+    found = te.select("doc_id", F.col("key").alias("test_key")).join(exact, "test_key", "left").join(near, "test_key", "left")
     return found.select(
         "doc_id",
         F.coalesce("n_exact", F.lit(0)).cast("long").alias("n_exact"),

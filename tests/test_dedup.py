@@ -63,3 +63,19 @@ def test_long_texts_empty_sides(spark):
     assert run(spark, train, test) == plain(train, test)
     assert run(spark, [], test) == sorted([(9, 0, 0, None, False), (10, 0, 0, None, False)], key=repr)
     assert run(spark, train, []) == []
+
+
+def test_order_of_prefixes_does_not_change_the_result(spark, monkeypatch):
+    # A line shared by all texts is counted in a share of them, and goes last in the prefixes.
+    line = "one line that all of the texts hold at their end"
+    rnd = random.Random(8)
+    base = [" ".join(rnd.choice("abcdefgh") for _ in range(40)) for _ in range(6)]
+    train = [(i, f"{rnd.choice(base)} {rnd.choice(['x', 'y'])} {line}") for i in range(50)]
+    test = [(100 + i, f"{rnd.choice(base)} {rnd.choice(['x', 'z'])} {line}") for i in range(20)]
+    want = plain(train, test)
+    assert any(r[2] > r[1] for r in want)
+    for texts, shingles, least in ((5, 100, 1), (10, 3, 2), (1, 1, 99)):
+        monkeypatch.setattr(U, "ORDER_TEXTS", texts)
+        monkeypatch.setattr(U, "ORDER_SHINGLES", shingles)
+        monkeypatch.setattr(U, "ORDER_LEAST", least)
+        assert run(spark, train, test) == want
