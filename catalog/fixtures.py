@@ -12,6 +12,9 @@ from prefspark.storage import durable
 
 VOCABULARY_SIZE = None  # all words
 
+#: Rows with whole texts that one task numbers: groups are a few languages, and most of the table.
+TEXT_ROWS_PER_BUCKET = 16_384
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,7 +77,7 @@ def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("good", F.coalesce(F.col("quality") == 1, F.lit(False)))
         .select("doc_id", "lang", "good", topic_prompt().alias("prompt"), "text")
     )
-    ranked = ordinal_within(documents, ["lang", "good"], ["doc_id"], "slot")
+    ranked = ordinal_within(documents, ["lang", "good"], ["doc_id"], "slot", TEXT_ROWS_PER_BUCKET)
     chosen = ranked.where("good").select(
         "lang", "slot", F.col("doc_id").alias("pair_id"), "prompt", F.col("text").alias("chosen")
     )

@@ -116,3 +116,20 @@ def test_weights_of_the_two_sides_are_opposite(graded):
 def test_ranker_margin_must_be_positive(graded):
     with pytest.raises(ValueError):
         fit_pairwise_ranker(graded, margin=0)
+
+
+def test_document_pairs_cut_large_groups(spark, tmp_path, monkeypatch):
+    """A language that is most of the table is not numbered by one task, and pairs stay the same."""
+    from catalog import fixtures as X
+
+    docs = [(i, f"text {i}", "en" if i % 10 else "de", "src") for i in range(400)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 3 % 2) for i in range(400)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(X, "TEXT_ROWS_PER_BUCKET", 1_000_000)
+    whole = X.document_pairs(spark, str(tmp_path))
+    want = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr(X, "TEXT_ROWS_PER_BUCKET", 50)
+    cut = X.document_pairs(spark, str(tmp_path))
+    assert sorted(map(tuple, cut.collect())) == want and want
+    plan = lambda f: f._jdf.queryExecution().toString()
+    assert "_bucket" in plan(cut) and "_bucket" not in plan(whole)
