@@ -128,10 +128,11 @@ def _look_up(
     def lookup(token: Column) -> Column:
         return F.coalesce(F.get(maps, F.pmod(F.hash(token), F.lit(slots)))[token], missing)
 
-    coded = df.withColumn("_maps", token_maps(vocabulary, slots))
-    return coded.withColumns(
-        {ids: F.transform(split_tokens(F.col(text)), lookup) for text, ids in columns.items()}
-    ).drop("_maps")
+    # Read once per step, the maps stay out of the rows; named twice they would be copied into each.
+    for text, ids in columns.items():
+        coded = df.withColumn("_maps", token_maps(vocabulary, slots))
+        df = coded.withColumn(ids, F.transform(split_tokens(F.col(text)), lookup)).drop("_maps")
+    return df
 
 
 _SHIFT = 1 << 32
