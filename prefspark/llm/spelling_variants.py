@@ -4,13 +4,14 @@ Method:
 
 1. Words are the maximal runs ``[A-Za-z\\u00C0-\\u00FF]+`` of the texts, A-Z lower-cased; for the
    seeded deletion rule see :func:`words_of`. The vocabulary keeps distinct words of at least
-   ``min_length`` code points seen ``min_count`` times or more (counted map-side first).
-2. Index: the vocabulary of one length ``L`` is dealt to blocks of at most ``target_block``
-   words. A block keeps, per (position, letter), a bitset over its words: bit ``t`` is set when
-   word ``t`` has that letter there.
+   ``min_length`` code points seen ``min_count`` times or more (counted per task first).
+2. Index: the vocabulary of one length ``L`` is dealt to blocks of about ``target_block`` words,
+   twice: by its first ``L // 2`` letters and by the others. A block keeps, per (position,
+   letter), a bitset over its words: bit ``t`` is set when word ``t`` has that letter there.
 3. Search: every word of length ``L`` (replacement) or ``L - 1`` (insertion) is a query of the
-   blocks of length ``L``; queries go in blocks of ``query_block``, one task per (target block,
-   query block). For all queries of a task at once, word-parallel recurrences run position by
+   blocks of length ``L`` that hold one of its halves: one edit leaves a half of the target
+   intact, so no near pair is lost, and a word meets four blocks however many there are.
+   Queries go in blocks of ``query_block``, one group per (target block, query block). For all queries of a task at once, word-parallel recurrences run position by
    position: for replacement ``E1 = (E1 & M) | (E0 & ~M); E0 &= M`` with ``M`` the bitset of the
    query's letter there; for insertion the one-error set reads the query's letter one position
    back (``A1 = (A1 & B[j][q[j-1]]) | A0; A0 &= B[j][q[j]]``). The zero-error and one-error sets
@@ -27,46 +28,79 @@ runs are words like any other; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import math
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefspark.llm.common import ship_library
+from prefspark.llm.common import map_batches, sent_if_small, ship_library, slices
 from prefspark.storage import durable
 
-# Fixed values of the contract: letters of a run, the letters lower-cased, the deletion divisor.
-RUN = "[A-Za-z\\u00C0-\\u00FF]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
+# Fixed values of the contract: the letters of a run as Latin-1 bytes, A-Z lower-cased, others a space; the deletion divisor.
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 0xC0 else 32 for b in range(256))
 DIVISOR = 97
 
+#: Distinct words a task counts before it passes the counts on.
+MEMORY = 300_000
+
 #: Words of one length in one index block, and queries met in one task: bound a task's memory.
 TARGET_BLOCK = 8192
 QUERY_BLOCK = 4096
 
+COUNTS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 PAIRS = T.StructType([T.StructField("word", T.StringType()), T.StructField("other", T.StringType())])
 
 
+def _kept(run: bytes, start: int) -> str:
+    """The word of a lower-cased Latin-1 run after the seeded deletion; ``start`` is the crc32 of ``<doc_id>:``."""
+    word = run.decode("latin-1")
+    h = zlib.crc32(run if word.isascii() else word.encode(), start)
+    if h % DIVISOR:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
 def words_of(docs: DataFrame) -> DataFrame:
-    """One row per run: its word after lower-casing and the seeded deletion.
+    """Words after lower-casing and the seeded deletion with their counts, each counted in part.
 
     ``h`` is the unsigned crc32 of UTF-8 ``<doc_id>:<run>``; when 97 divides it, the run loses
-    its code point ``h % length``.
+    its code point ``h % length``. A task counts at most ``MEMORY`` words before it passes them on.
     """
-    runs = docs.select(docs["doc_id"].alias("doc_id"), F.explode(F.regexp_extract_all(F.coalesce(docs["text"], F.lit("")), F.lit(RUN), 0)).alias("run"))
-    runs = runs.select("doc_id", F.translate("run", UPPER, LOWER).alias("run"))
-    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")).cast("binary"))
-    at = F.pmod(h, F.length("run"))
-    cut = F.concat(F.expr("substring(run, 1, cast(_at as int))"), F.expr("substring(run, cast(_at as int) + 2)"))
-    return runs.withColumn("_at", at).select(F.when(F.pmod(h, F.lit(DIVISOR)) == 0, cut).otherwise(F.col("run")).alias("word"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+
+        def counted() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
+
+        for batch in slices(batches):
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                # One byte per code point, "?" for those past U+00FF; all but the letters become spaces.
+                runs = Counter((text or "").encode("latin-1", "replace").translate(LETTERS).split())
+                if doc_id is None:
+                    for run, n in runs.items():
+                        total[run.decode("latin-1")] += n
+                else:
+                    start = zlib.crc32(f"{doc_id}:".encode())
+                    for run, n in runs.items():
+                        total[_kept(run, start)] += n
+            if len(total) >= MEMORY:
+                yield counted()
+                total.clear()
+        yield counted()
+
+    return map_batches(docs.select(docs["doc_id"].cast("string").alias("doc_id"), docs["text"].alias("text")), count, COUNTS)
 
 
 def vocabulary(docs: DataFrame, min_length: int = 5, min_count: int = 3) -> DataFrame:
-    counted = words_of(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counted = words_of(docs).groupBy("word").agg(F.sum("n").alias("n"))
     return counted.where((F.length("word") >= min_length) & (F.col("n") >= min_count)).withColumn("size", F.length("word"))
 
 
@@ -127,32 +161,57 @@ def _searcher(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["word", "other"])
 
 
+def _keyed(word: Column, size: Column, cut: Column, length: Column) -> Column:
+    """The intact halves by which ``word``, of ``length`` letters, meets targets of ``size`` letters.
+
+    Targets are cut after ``size // 2`` letters. A word one edit away keeps all letters before
+    the cut, or all behind it; a shorter one has those behind it a place earlier.
+    """
+    head, tail = F.substring(word, F.lit(1), cut), F.substring(word, cut + 1 + length - size, length)
+    return F.explode(F.array(F.struct(F.lit(0).alias("side"), head.alias("half")), F.struct(F.lit(1).alias("side"), tail.alias("half"))))
+
+
 def near_pairs(vocab: DataFrame, target_block: int = TARGET_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """Ordered pairs (word, other) of vocabulary words one edit apart; each pair both ways."""
-    sizes = vocab.groupBy("size").agg(F.count(F.lit(1)).alias("v"))
-    # One row per length: target blocks of that length, query blocks of its queries (one shorter and as long).
-    shorter = sizes.select((F.col("size") + 1).alias("size"), F.col("v").alias("v_short"))
-    plan = sizes.join(shorter, "size", "left").select(
-        "size",
-        F.ceil(F.col("v") / target_block).cast("int").alias("tb"),
-        F.ceil((F.col("v") + F.coalesce("v_short", F.lit(0))) / query_block).cast("int").alias("qb"),
+    cells = vocab.groupBy("size").agg(F.ceil(2 * F.count(F.lit(1)) / target_block).cast("int").alias("cells"))
+    cells = durable(cells)  # one row per word length: its size is bounded by the longest word
+    half = F.floor(F.col("size") / 2).cast("int")
+    key = ["size", "side", "cell"]
+
+    def dealt(words: DataFrame) -> DataFrame:
+        """Words (``word, size``: of the targets) in the cells of both halves, half a block's targets each on average."""
+        keyed = words.select("word", "size", _keyed(F.col("word"), F.col("size"), half, F.length("word")).alias("k")).select("word", "size", "k.*")
+        return keyed.join(F.broadcast(cells), "size").select(
+            "word", "size", "side", F.pmod(F.xxhash64("half"), F.col("cells")).cast("int").alias("cell")
+        )
+
+    as_target = dealt(vocab.select("word", "size"))
+    as_query = dealt(vocab.select("word", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size")))
+    # Cells with more words than a block, as of a frequent half, are met block by block.
+    plan = (
+        as_target.select(*key, F.lit(1).alias("target"))
+        .unionByName(as_query.select(*key, F.lit(0).alias("target")))
+        .groupBy(*key)
+        .agg(F.sum("target").alias("v"), F.sum(1 - F.col("target")).alias("u"))
+        .where("v > 0 and u > 1")  # a lone target meets only itself
+        .select(*key, F.ceil(F.col("v") / target_block).cast("int").alias("tb"), F.ceil(F.col("u") / query_block).cast("int").alias("qb"))
     )
-    plan = durable(plan)  # one row per word length: its size is bounded by the longest word
+    plan = sent_if_small(durable(plan), 32)
     # Keys of a cogroup must have one type on both sides: equal ints and longs hash to different partitions.
-    targets = vocab.join(F.broadcast(plan), "size").select(
-        "word", "size",
+    targets = as_target.join(plan, key).select(
+        "word", *key,
         F.pmod(F.xxhash64("word"), F.col("tb")).cast("int").alias("t"),
         F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("q"),
     )
     # Fresh names on the query side, so that both sides of the cogroup don't share columns.
-    as_query = vocab.select(F.col("word").alias("query"), F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("size"))
-    queries = as_query.join(F.broadcast(plan), "size").select(
-        F.col("query").alias("word"), "size",
+    queries = as_query.withColumnRenamed("word", "query").join(plan, key).select(
+        F.col("query").alias("word"), *key,
         F.explode(F.sequence(F.lit(0), F.col("tb") - 1)).alias("t"),
-        F.pmod(F.xxhash64("word"), F.col("qb")).cast("int").alias("q"),
+        F.pmod(F.xxhash64("query"), F.col("qb")).cast("int").alias("q"),
     )
+    blocks = [*key, "t", "q"]
     ship_library(vocab.sparkSession)
-    found = targets.groupBy("size", "t", "q").cogroup(queries.groupBy("size", "t", "q")).applyInPandas(_searcher, PAIRS)
+    found = targets.groupBy(*blocks).cogroup(queries.groupBy(*blocks)).applyInPandas(_searcher, PAIRS)
     return found.distinct()
 
 

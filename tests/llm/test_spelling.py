@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import pandas as pd
 import pytest
 
 from prefspark.llm import spelling_variants
@@ -116,3 +117,27 @@ def test_query_shape(spark):
     df = QUERIES["op13_spelling_variants"](spark, "/root/testdata/sf0.001")
     assert df.columns[:6] == ["word", "form", "root", "n", "n_near", "form_n"]
     assert df.count() > 0
+
+
+def test_every_edit_keeps_a_half_and_meets_few_blocks(spark, monkeypatch):
+    # Edits at every place of even and odd words, repeated letters at the cut included.
+    stems = ["abcdef", "abcdefg", "aaaaa", "aabbaa", "éàçèñ"]
+    words = set(stems)
+    for w in stems:
+        for i in range(len(w) + 1):
+            words |= {w[:i] + "a" + w[i:], w[:i] + w[i + 1 :], w[:i] + "z" + w[i + 1 :]}
+    rows = [(None, " ".join(sorted(words))), (3, "É x" + "\U0001f600" + "abcdef ABCDEF×ÿÿÿÿÿ")] * 3
+    for blocks in ({}, {"target_block": 2, "query_block": 2}):
+        assert run(spark, rows, **blocks) == plain(rows)
+    # A word's queries go to the blocks of its halves only: rows grow with the words, not with words times blocks.
+    rnd = random.Random(9)
+    vocab = spark.createDataFrame([("".join(rnd.choice("abcdefghij") for _ in range(8)), 3, 8) for _ in range(2000)], "word string, n long, size int").distinct()
+    met = spark.sparkContext.accumulator(0)
+
+    def searcher(data, queries):
+        met.add(len(data) + len(queries))
+        return pd.DataFrame(columns=["word", "other"])
+
+    monkeypatch.setattr(spelling_variants, "_searcher", searcher)
+    spelling_variants.near_pairs(vocab, target_block=100, query_block=100).count()
+    assert 0 < met.value < 30 * 2000
