@@ -5,7 +5,11 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
+import pyarrow as pa
+
+from prefspark import storage
 from prefspark.llm import collocations
 
 SCHEMA = "doc_id long, text string, lang string, words string, leaf string, f long"
@@ -78,3 +82,33 @@ def test_drop_rule_ties_and_long_texts(spark):
 def test_empty_tables(spark):
     assert run(spark, []) == []
     assert run(spark, [(None, None), ("", "en")]) == []
+
+
+def test_leaves_are_sent_as_places_in_word_lists(spark):
+    # Rows to the groups hold each word once and no leaf is stored: stored tables hold prefixes, nodes and counts only.
+    rnd = random.Random(8)
+    vocab = [f"longishword{i:04d}" for i in range(300)]
+    rows = [(" ".join(rnd.choice(vocab) for _ in range(400)), rnd.choice(["en", "de"])) for _ in range(100)]
+    with storage.recorded_tables() as paths:
+        assert run(spark, rows, min_count=3, top=50) == plain(rows, min_count=3, top=50)
+    stored = sum(f.stat().st_size for path in paths for f in Path(path.removeprefix("file:")).glob("*.parquet"))
+    assert stored < 40000 * 20  # 40,000 positions, nearly all of them distinct leaves
+
+
+def test_windows_flushes_and_odd_bytes(spark, monkeypatch):
+    # Leaves across windows, steps and hand-overs within one text; other white space and UTF-8 belongs to words.
+    rows = [("A b  c\tD;é\x0bÿ\U0001f600 x\x85y \x1fz " * 12, "en"), ("ab cd ef gh. " * 40 + "ab cd", None), ("ab", "de")]
+    want = plain(rows)
+    assert want and run(spark, rows) == want and run(spark, rows, leaf_budget=2) == want
+    batch = pa.record_batch([[lang or "und" for _, lang in rows], [text.encode() for text, _ in rows]], names=["lang", "text"])
+
+    def subtrees():
+        emit = collocations._dealt(3, 1, set())
+        table = pa.Table.from_batches(list(collocations._over_leaves(iter([batch]), 3, emit)))
+        return table.num_rows, sorted(map(str, collocations._subtrees(3, 1)(table).to_pylist()))
+
+    one = subtrees()
+    for name, value in (("WINDOW", 7), ("STEP", 3), ("POSITIONS", 11)):
+        monkeypatch.setattr(collocations, name, value)
+    many = subtrees()
+    assert many[0] > 5 * one[0] and many[1] == one[1]
