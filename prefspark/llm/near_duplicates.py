@@ -37,7 +37,7 @@ SET_BITS = 1024
 #: How far an estimate may lie below the threshold: over five standard errors.
 MARGIN = 0.16
 #: Words whose hashes a Python worker remembers; on reaching it, the memory starts anew.
-MEMORY = 600_000
+MEMORY = 200_000
 #: Bands whose pivots are tried first; the others only see what those leave open.
 FIRST_BANDS = 6
 PIVOT_ROUNDS = 1

@@ -13,7 +13,7 @@ from operator import itemgetter
 import regex
 
 #: Pieces a Python worker remembers; on reaching it, the memory starts anew.
-MEMORY = 600_000
+MEMORY = 200_000
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
