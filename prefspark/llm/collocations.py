@@ -50,10 +50,12 @@ from prefspark.storage import durable
 BREAK = b"\xff"
 BYTES = bytes(BREAK[0] if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-#: Positions a prefix group may hold, distinct or not: bounds the memory of one subtree, about 100 bytes each.
-LEAF_BUDGET = 1_000_000
+#: Positions a prefix group may hold, distinct or not: bounds the memory of one subtree, some 100 bytes each.
+LEAF_BUDGET = 500_000
 #: Positions a task counts before it hands its leaves on, bytes of a text cut into words at once, words numbered at once.
-POSITIONS = 3_000_000
+POSITIONS = 2_000_000
+#: Leaves of a task that are made into rows at once.
+ROW_LEAVES = 250_000
 WINDOW = 1 << 20
 STEP = 1 << 14
 #: A prefix is counted where it has more than this part of a task's positions; one of that part of all has it somewhere.
@@ -66,7 +68,7 @@ BLOCKS = T.StructType(
         T.StructField("lang", T.StringType()),
         T.StructField("words", T.ArrayType(T.BinaryType())),
         T.StructField("places", T.ArrayType(T.IntegerType())),
-        T.StructField("totals", T.ArrayType(T.LongType())),
+        T.StructField("totals", T.ArrayType(T.IntegerType())),
         T.StructField("keys", T.ArrayType(T.IntegerType())),
     ]
 )
@@ -204,9 +206,9 @@ def _dealt(depth: int, groups: int, grown: set[tuple]):
 
     def emit(leaves: _Leaves) -> Iterator[pa.RecordBatch]:
         found, totals = leaves.counted()
-        numbers = [leaves.place(found, i) for i in range(depth)]
+        numbers = [leaves.place(found, i).astype(np.int32) for i in range(depth)]
         hashes = np.array([0] + [xxhash.xxh64_intdigest(w, xxhash.xxh32_intdigest(lang)) for lang, w in leaves.words], np.uint64)
-        key, hashed = np.ones(len(found), np.int64), hashes[numbers[0]]
+        key, hashed = np.ones(len(found), np.int8), hashes[numbers[0]]
         own = {w: i + 1 for i, w in enumerate(leaves.words)} if grown else {}
         for d in range(1, depth):
             heavy = [[own.get((lang, w)) for w in words] for lang, words in grown if len(words) == d]
@@ -222,25 +224,33 @@ def _dealt(depth: int, groups: int, grown: set[tuple]):
         code = {lang: i for i, lang in enumerate(langs)}
         lang_of = np.array([0] + [code[lang] for lang, _ in leaves.words], np.int64)
         block = group * len(langs) + lang_of[numbers[0]]
+        del found, hashed, group
         order = np.argsort(block, kind="stable")
-        block, starts = block[order], np.flatnonzero(np.r_[True, np.diff(block[order]) != 0])
-        row_of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(block)]))
-        spread = np.concatenate([(row_of << leaves.bits) | n[order] for n in numbers])
-        listed, places = np.unique(spread, return_inverse=True)
-        firsts = np.searchsorted(listed >> leaves.bits, np.arange(len(starts) + 1))
-        places = (places.reshape(depth, -1) - firsts[row_of]).T.astype(np.int32)
-        words = pa.array([None] + [w for _, w in leaves.words], pa.binary()).take(pa.array(listed & ((1 << leaves.bits) - 1)))
-        ends = np.r_[starts, len(block)].astype(np.int32)
-        columns = [
-            pa.array(block[starts] // len(langs)),
-            pa.array([langs[x] for x in (block[starts] % len(langs)).tolist()]),
-            pa.ListArray.from_arrays(firsts.astype(np.int32), words),
-            pa.ListArray.from_arrays(ends * depth, places.ravel()),
-            pa.ListArray.from_arrays(ends, totals[order]),
-            pa.ListArray.from_arrays(ends, key[order].astype(np.int32)),
-        ]
-        rows = pa.record_batch([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
-        yield from slices([rows], 256)
+        block, totals, key = block[order], totals[order].astype(np.int32), key[order]
+        numbers = [n[order] for n in numbers]
+        listed = pa.array([None] + [w for _, w in leaves.words], pa.binary())
+        starts = np.flatnonzero(np.r_[True, np.diff(block) != 0])
+        cuts = np.unique(np.r_[starts[np.searchsorted(starts, np.arange(0, len(block), ROW_LEAVES), "right") - 1], len(block)])
+        for first, last in zip(cuts, cuts[1:]):
+            part = slice(first, last)
+            ends = np.r_[starts[(starts >= first) & (starts < last)], last] - first
+            row_of = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            spread = np.concatenate([(row_of << leaves.bits) | n[part] for n in numbers])
+            used, places = np.unique(spread, return_inverse=True)
+            firsts = np.searchsorted(used >> leaves.bits, np.arange(len(ends)))
+            places = (places.reshape(depth, -1) - firsts[row_of]).T.astype(np.int32)
+            blocks = block[part][ends[:-1]]
+            ends = ends.astype(np.int32)
+            columns = [
+                pa.array(blocks // len(langs)),
+                pa.array([langs[x] for x in (blocks % len(langs)).tolist()]),
+                pa.ListArray.from_arrays(firsts.astype(np.int32), listed.take(pa.array(used & ((1 << leaves.bits) - 1)))),
+                pa.ListArray.from_arrays(ends * depth, places.ravel()),
+                pa.ListArray.from_arrays(ends, totals[part]),
+                pa.ListArray.from_arrays(ends, key[part].astype(np.int32)),
+            ]
+            rows = pa.record_batch([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+            yield from slices([rows])
 
     return emit
 
@@ -257,7 +267,7 @@ def _subtrees(depth: int, min_count: int):
             lang = table.column("lang")[row].as_py()
             numbers = [own.setdefault(w if w is None else (lang, w), len(own)) for w in cell("words").to_pylist()]
             parts.append(np.array(numbers, np.int32)[cell("places").to_numpy().reshape(-1, depth).T])
-            totals.append(cell("totals").to_numpy())
+            totals.append(cell("totals").to_numpy().astype(np.int64))
             keys.append(cell("keys").to_numpy())
         places, total, key = np.concatenate(parts, axis=1), np.concatenate(totals), np.concatenate(keys)
         order = np.lexsort(places[::-1])

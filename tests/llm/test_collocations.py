@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 
 from prefspark import storage
@@ -108,7 +110,20 @@ def test_windows_flushes_and_odd_bytes(spark, monkeypatch):
         return table.num_rows, sorted(map(str, collocations._subtrees(3, 1)(table).to_pylist()))
 
     one = subtrees()
-    for name, value in (("WINDOW", 7), ("STEP", 3), ("POSITIONS", 11)):
+    for name, value in (("WINDOW", 7), ("STEP", 3), ("POSITIONS", 11), ("ROW_LEAVES", 2)):
         monkeypatch.setattr(collocations, name, value)
     many = subtrees()
     assert many[0] > 5 * one[0] and many[1] == one[1]
+
+
+def test_making_rows_takes_little_memory():
+    # Whatever a task has counted, the arrays made besides stay few: rows are made a part at a time.
+    rnd = np.random.default_rng(4)
+    leaves = collocations._Leaves(3)
+    for at in range(0, 1_000_000, 50_000):
+        leaves.add("en", [b"w%d" % x for x in rnd.integers(0, 30_000, 50_002)])
+    tracemalloc.start()
+    rows = sum(batch.num_rows for batch in collocations._dealt(3, 50, set())(leaves))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows >= 50 and peak < 130 * leaves.positions
