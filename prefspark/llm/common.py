@@ -7,7 +7,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from prefspark.storage import durable
 
 #: Rows that are turned into Python objects at a time, so that long texts don't pile up.
 ROWS_AT_ONCE = 64
+#: Bytes of text that steps on whole columns take at a time; a longer text is taken alone.
+BYTES_AT_ONCE = 1 << 20
 
 
 def ship_library(spark: SparkSession) -> None:
@@ -50,6 +54,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(at, rows)
 
 
+def sized_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """All rows in order, as many at a time as have ``size`` bytes in a text column, at least one."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def first_row_id() -> int:
     """Where the row numbers of the running task start.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefspark.llm.common import arrow_schema, documents_of, first_row_id, map_batches, ship_library, slices
+from prefspark.llm.common import arrow_schema, documents_of, first_row_id, map_batches, ship_library, sized_slices
 from prefspark.llm.tokenization import word_coder
 from prefspark.storage import durable
 
@@ -117,10 +117,10 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: in
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, piece_id = word_coder(tokenizer), first_row_id()
-        for batch in slices(batches):
+        for batch in sized_slices(batches, 1):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = coder.encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode_column(batch.column(1))):
+                ids += end
                 tokens, start = len(ids) // 4, 0
                 for length in cut_lengths(tokens, capacity, remainder):
                     own = ids[4 * start : 4 * (start + length)]

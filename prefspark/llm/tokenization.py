@@ -8,12 +8,18 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Iterator
 from operator import itemgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-#: Pieces a Python worker remembers; on reaching it, the memory starts anew.
+#: Pieces a Python worker remembers, and half as many words; on reaching it, the memory starts anew.
 MEMORY = 200_000
+#: Bytes of pieces and ids that a worker remembers for columns of texts.
+COLUMN_MEMORY = 12 << 20
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -49,13 +55,18 @@ class WordCoder(dict):
     and all others go to the library whole.
     """
 
-    def __init__(self, path: str, memory: int = MEMORY):
+    def __init__(self, path: str, memory: int = MEMORY, column_memory: int = COLUMN_MEMORY):
         super().__init__()
         self._tokenizer = load_tokenizer(path)
         self._model = self._tokenizer.model
         self._letters = byte_letters()
         self._memory = memory
         self._words: dict[str, bytes] = {}
+        self._column_memory = column_memory
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known, self._known_ids = pa.array([], pa.string()), pa.array([], pa.binary())
 
     def _library(self, piece: str) -> bytes:
         return array("I", self._tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
@@ -64,23 +75,26 @@ class WordCoder(dict):
         """Ids of one normalised pre-token."""
         ids = self._words.get(word)
         if ids is None:
-            if len(self._words) >= self._memory:
+            if len(self._words) >= self._memory // 2:
                 self._words.clear()
             spelled = word if word.isascii() else "".join(map(self._letters.__getitem__, word.encode()))
             ids = self._words[word] = array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes()
         return ids
 
-    def __missing__(self, piece: str) -> bytes:
+    def _piece(self, piece: str) -> bytes:
         word = piece.rstrip(".,;:!?")
         lowered = word.lower()
         if lowered.isalpha() and max(lowered) < "ƀ" and max(word) < "ƀ":
             ids = self._word(lowered)
             if len(word) < len(piece):
                 ids += self._word(piece[len(word) :])
-        elif piece and max(piece) < "ƀ" and piece.isprintable() and "<|" not in piece:
-            ids = b"".join(map(self._word, _WORDS.findall(piece.lower())))
-        else:
-            ids = self._library(piece)
+            return ids
+        if piece and max(piece) < "ƀ" and piece.isprintable() and "<|" not in piece:
+            return b"".join(map(self._word, _WORDS.findall(piece.lower())))
+        return self._library(piece)
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._piece(piece)
         if len(self) >= self._memory:
             self.clear()
         self[piece] = ids
@@ -94,6 +108,39 @@ class WordCoder(dict):
         pieces = text.replace("\n", " ").split(" ")
         return b"".join(itemgetter("", *pieces)(self))
 
+    def encode_column(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text, as :meth:`encode` gives them.
+
+        Arrow cuts the texts and numbers their distinct pieces, so that a piece is coded once
+        however often it occurs. Pieces of earlier columns are remembered as Arrow arrays, in
+        a fifth of the room that Python's objects take; when these are full, those of the
+        latest column stay.
+        """
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " "), " ")
+        pieces = cut.flatten().dictionary_encode()
+        distinct = pieces.dictionary
+        # The pieces of this column are hashed, not the many that are known.
+        same = pc.index_in(self._known, value_set=distinct)
+        place = np.full(len(distinct), -1)
+        place[same.drop_null().to_numpy()] = np.flatnonzero(same.is_valid())
+        new = np.flatnonzero(place < 0)
+        place[new] = len(self._known) + np.arange(len(new))
+        unknown = distinct.take(pa.array(new))
+        coded = pa.array([self._piece(p) for p in unknown.to_pylist()], pa.binary())
+        self._known = pa.concat_arrays([self._known, unknown])
+        self._known_ids = pa.concat_arrays([self._known_ids, coded])
+        ids = self._known_ids.take(pa.array(place))
+        if self._known.nbytes + self._known_ids.nbytes > self._column_memory:
+            self._known, self._known_ids = distinct, ids
+            if distinct.nbytes + ids.nbytes > self._column_memory:
+                self._forget()
+        found = ids.take(pieces.indices)
+        _, offsets, data = found.buffers()
+        ends = np.frombuffer(offsets, "<i4")[cut.offsets.to_numpy()] if len(texts) else []
+        data = memoryview(data or b"")
+        for start, end in zip(ends[:-1], ends[1:]):
+            yield bytes(data[start:end])
+
 
 _CODERS: dict[str, WordCoder] = {}
 
