@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefspark.llm.common import arrow_schema, documents_of, map_batches, slices
+from prefspark.llm.common import arrow_schema, documents_of, map_batches, sized_slices, slices
 from prefspark.llm.tokenization import word_coder
 
 # The layouts of a word, by selector.
@@ -192,9 +192,9 @@ def write_token_table(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             row = [part, number, start, len(values), doc_ids, lengths, offsets.astype("<u4").tobytes(), words.astype("<u8").tobytes()]
             return pa.record_batch([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
-        for batch in slices(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                coded.append(coder.encode(text) + end)
+        for batch in sized_slices(batches, 1):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode_column(batch.column(1))):
+                coded.append(ids + end)
                 doc_ids.append(doc_id)
                 size += len(coded[-1]) // 4
                 if size >= SEGMENT:

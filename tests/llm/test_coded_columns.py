@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from prefspark.llm import common, packing, tokenization
+from prefspark.llm import common, packing, simple8b, tokenization
+from prefspark.storage import new_path
 
 ODD = [
     None, "", " ", "a", "a  b", " a", "a ", "\n\n", "a\n\nb", "a \n b", "don't I'M you'LL '  's x''s",
@@ -70,7 +71,7 @@ def test_slices_by_size():
     assert [s.num_rows for s in common.sized_slices(iter([none]), 1)] == [2]
 
 
-@pytest.mark.parametrize("operator", ["op4_packing"])
+@pytest.mark.parametrize("operator", ["op3_simple8b", "op4_packing"])
 def test_operators_code_a_repeated_piece_once(spark, word_path, operator, monkeypatch, tmp_path):
     """Tasks run with a coder that can't remember pieces as objects and counts those it works out."""
     docs = spark.createDataFrame([(i, "one two three " * 20) for i in range(200)], "doc_id long, text string").coalesce(1)
@@ -88,7 +89,11 @@ def test_operators_code_a_repeated_piece_once(spark, word_path, operator, monkey
         made._piece = logged
         return made
 
-    monkeypatch.setattr(packing, "word_coder", coder)
-    packing.cut_documents(docs, word_path)
+    if operator == "op3_simple8b":
+        monkeypatch.setattr(simple8b, "word_coder", coder)
+        simple8b.write_token_table(docs, new_path(spark), word_path)
+    else:
+        monkeypatch.setattr(packing, "word_coder", coder)
+        packing.cut_documents(docs, word_path)
     with open(path) as file:
         assert sorted(file.read().split()) == ["one", "three", "two"]
