@@ -16,10 +16,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Pieces a Python worker remembers, and half as many words; on reaching it, the memory starts anew.
+#: Pieces a Python worker remembers, and a quarter as many words; on reaching it, the memory starts anew.
 MEMORY = 200_000
 #: Bytes of pieces and ids that a worker remembers for columns of texts.
-COLUMN_MEMORY = 12 << 20
+COLUMN_MEMORY = 20 << 20
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -67,6 +67,10 @@ class WordCoder(dict):
 
     def _forget(self) -> None:
         self._known, self._known_ids = pa.array([], pa.string()), pa.array([], pa.binary())
+        self._columns, self._met = 0, np.empty(0, np.int64)  # columns so far, and the last that held each known piece
+
+    def _room(self) -> int:
+        return self._known.nbytes + self._known_ids.nbytes + self._met.nbytes
 
     def _library(self, piece: str) -> bytes:
         return array("I", self._tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
@@ -75,7 +79,7 @@ class WordCoder(dict):
         """Ids of one normalised pre-token."""
         ids = self._words.get(word)
         if ids is None:
-            if len(self._words) >= self._memory // 2:
+            if len(self._words) >= self._memory // 4:
                 self._words.clear()
             spelled = word if word.isascii() else "".join(map(self._letters.__getitem__, word.encode()))
             ids = self._words[word] = array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes()
@@ -113,8 +117,8 @@ class WordCoder(dict):
 
         Arrow cuts the texts and numbers their distinct pieces, so that a piece is coded once
         however often it occurs. Pieces of earlier columns are remembered as Arrow arrays, in
-        a fifth of the room that Python's objects take; when these are full, those of the
-        latest column stay.
+        a fifth of the room that Python's objects take; when these are full, the half that was
+        not met for longest is forgotten.
         """
         cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " "), " ")
         pieces = cut.flatten().dictionary_encode()
@@ -130,9 +134,14 @@ class WordCoder(dict):
         self._known = pa.concat_arrays([self._known, unknown])
         self._known_ids = pa.concat_arrays([self._known_ids, coded])
         ids = self._known_ids.take(pa.array(place))
-        if self._known.nbytes + self._known_ids.nbytes > self._column_memory:
-            self._known, self._known_ids = distinct, ids
-            if distinct.nbytes + ids.nbytes > self._column_memory:
+        self._columns += 1
+        self._met = np.concatenate([self._met, np.empty(len(new), np.int64)])
+        self._met[place] = self._columns
+        if self._room() > self._column_memory:
+            recent = np.flatnonzero(self._met > np.median(self._met))
+            self._known, self._known_ids = self._known.take(pa.array(recent)), self._known_ids.take(pa.array(recent))
+            self._met = self._met[recent]
+            if self._room() > self._column_memory:
                 self._forget()
         found = ids.take(pieces.indices)
         _, offsets, data = found.buffers()
