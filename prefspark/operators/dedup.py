@@ -1,13 +1,16 @@
 """Train/test deduplication: normalised exact copies, and near copies by a set-similarity join.
 
 Near copies are found with prefix filtering: every distinct text becomes the set of its
-word shingles, kept as 64-bit hashes (one per shingle, so a collision inside a text loses
-nothing). In any fixed order of the hashes, two sets with Jaccard similarity ``t`` or more share
-one among the first ``n - ceil(t n) + 1`` of each. The order puts frequent shingles last, as
-counted in a bounded, hash-chosen share of the texts, then goes by hash: the share decides how
-many candidates there are, never which pairs are found. Prefixes are cut inside their row, so
-only they are shuffled, a fifth of all shingles. They are joined train against test
-(bipartite), then every candidate pair is confirmed on the full sets of its two texts.
+word shingles, as 64-bit hashes. In any fixed order of the hashes, two sets with Jaccard
+similarity ``t`` or more share one among the first ``n - ceil(t n) + 1`` of each. The order puts
+frequent shingles last, as counted in a bounded, hash-chosen share of the texts, then goes by
+hash: the share decides how many candidates there are, never which pairs are found. Prefixes are
+cut inside their row, so only they are shuffled, a fifth of all shingles, and joined train
+against test (bipartite).
+
+Every candidate pair is confirmed on the full sets of its two texts, but no text moves once per
+pair: a train text goes to one home, named after its least candidate, so that a group of near
+copies meets at one place, and a test text goes once to each home of its candidates.
 """
 
 from __future__ import annotations
@@ -15,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.operators.vocabulary import token_maps
 from prefspark.storage import durable
 
 
@@ -47,21 +49,89 @@ def shingles(words: Column, size: int) -> Column:
 ORDER_TEXTS = 20_000
 ORDER_SHINGLES = 50_000
 ORDER_LEAST = 8
+#: Rows up to which each task holds an integer of every row (32 MB); above, rows are joined to them.
+HELD_ROWS = 8_000_000
+#: Texts of a home, about: train texts, and test texts of one of its parts.
+HOME_TRAIN = 256
+HOME_TEST = 1024
+#: Bits of a prefix token below the count of its shingle.
+_HASH_BITS = 51
+_MOST_COUNTED = 4095
 
 
 def _hashes(norm: Column, size: int) -> Column:
-    return F.transform(shingles(words_of(norm), size), lambda g: F.xxhash64(g))
+    """The distinct shingles (:func:`shingles`) as hashes of the hashes of their words."""
 
+    def of(h: Column) -> Column:
+        n = F.size(h)
+        grams = F.transform(F.sequence(F.lit(0), F.greatest(n - size, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
+        return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.array_distinct(grams))
 
-def _frequent(rows: DataFrame, texts: DataFrame, size: int) -> tuple[Column, int]:
-    """Counts of the shingles that many texts of a bounded share hold, as maps by hash."""
-    step = max(1, texts.count() // ORDER_TEXTS)
-    share = texts.where(F.pmod(F.xxhash64("row"), F.lit(step)) == 0).select("row")
-    counted = rows.select("row", "norm").join(share, "row", "left_semi").select(F.explode(_hashes(F.col("norm"), size)).alias("token"))
-    counted = counted.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("id")).where(F.col("id") >= ORDER_LEAST)
-    held = durable(counted.orderBy(F.desc("id"), "token").limit(ORDER_SHINGLES))
-    slots = max(1, held.count())
-    return token_maps(held, slots), slots
+    return F.transform(F.array(F.transform(words_of(norm), lambda w: F.xxhash64(w))), of)[0]
+
+
+def _place(row: Column) -> tuple[Column, Column]:
+    """The task that numbered a row by ``monotonically_increasing_id``, and the row's place there."""
+    return F.shiftright(row, 33).cast("int"), row.bitwiseAND((1 << 33) - 1).cast("int")
+
+
+def _with_value(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """The ``rows`` that ``values`` (row, value) names, with their integer; no shuffle of rows if each task can hold all integers.
+
+    ``rows`` must be all rows that one plan has numbered, so that places in a task have no gaps.
+    """
+    count, last = rows.agg(F.count(F.lit(1)), F.coalesce(F.max("row"), F.lit(0))).first()
+    if count > HELD_ROWS:
+        return rows.join(values, "row")
+    named = rows.select("row").join(values, "row", "left")
+    of_task = named.groupBy(_place(F.col("row"))[0].alias("task")).agg(F.sort_array(F.collect_list(F.struct("row", "value"))).alias("rows"))
+    of_task = of_task.select("task", F.transform("rows", lambda r: r["value"]).alias("values"))
+    tasks = rows.sparkSession.range((last >> 33) + 1).select(F.col("id").cast("int").alias("task")).join(of_task, "task", "left")
+    held = tasks.agg(F.sort_array(F.collect_list(F.struct("task", "values"))).alias("all")).select(F.transform("all", lambda t: t["values"])).scalar()
+    task, place = _place(F.col("row"))
+    return rows.withColumn("value", F.get(F.get(held, task), place)).where(F.col("value").isNotNull())
+
+
+def _counted(rows: DataFrame, size: int) -> tuple[Column, int]:
+    """Counts of the shingles that many texts of a bounded share hold, as an array by slot; shingles of one slot share a count."""
+    step = max(1, rows.count() // ORDER_TEXTS)
+    share = rows.where(F.pmod(F.xxhash64("row"), F.lit(step)) == 0)
+    counted = share.select(F.explode(_hashes(F.col("norm"), size)).alias("token"))
+    counted = counted.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= ORDER_LEAST)
+    held = durable(counted.orderBy(F.desc("n"), "token").limit(ORDER_SHINGLES))
+    slots = max(1, 4 * held.count())
+    filled = held.groupBy(F.pmod("token", F.lit(slots)).alias("id")).agg(F.least(F.max("n"), F.lit(_MOST_COUNTED)).alias("n"))
+    every = rows.sparkSession.range(slots).join(filled, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"))
+    ordered = F.sort_array(F.collect_list(F.struct("id", "n")))
+    return every.agg(ordered.alias("all")).select(F.transform("all", lambda x: x["n"].cast("long"))).scalar(), slots
+
+
+def _confirmed(rows: DataFrame, candidates: DataFrame, size: int, similarity_pct: int) -> DataFrame:
+    """The candidates (train_row, test_row) whose full sets are similar."""
+    homes = candidates.groupBy("train_row").agg(F.min("test_row").alias("leader"))
+    groups = homes.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / HOME_TRAIN).alias("blocks"))
+    # Homes that happen to get one name are one home.
+    home = F.hash("leader", F.pmod(F.xxhash64("train_row"), "blocks")).alias("home")
+    homes = durable(homes.join(groups, "leader").select("train_row", home))
+    visits = candidates.join(homes, "train_row").groupBy("test_row", "home").agg(F.collect_list("train_row").alias("partners"))
+    visits = durable(visits)
+    # Homes that very many test texts visit have parts: each train text is in all of them, each visit in one.
+    busy = visits.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / HOME_TEST).cast("int").alias("parts")).where("parts > 1")
+    busy = durable(busy)
+    parted = lambda df: df.join(F.broadcast(busy), "home", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    values = homes.select(F.col("train_row").alias("row"), F.col("home").alias("value"))
+    named = _with_value(rows, values.unionByName(visits.select(F.col("test_row").alias("row"), F.lit(0).alias("value")).distinct()))
+    train = parted(named.where("train").select(F.col("row").alias("train_row"), "norm", F.col("value").alias("home")))
+    train = train.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    test = parted(named.where(~F.col("train")).select(F.col("row").alias("test_row"), "norm").join(visits, "test_row"))
+    test = test.withColumn("part", F.pmod(F.xxhash64("test_row"), "parts").cast("int"))
+    # Texts are smaller than their hashes: sets are made behind the shuffle.
+    train = train.select("home", "part", "train_row", "norm").repartition("home", "part").withColumn("a", _hashes(F.col("norm"), size)).drop("norm")
+    test = test.select("home", "part", "test_row", "partners", "norm").repartition("home", "part").withColumn("b", _hashes(F.col("norm"), size)).drop("norm")
+    inter = F.size(F.array_intersect("a", "b"))
+    met = train.join(test, ["home", "part"]).where(F.array_contains("partners", F.col("train_row")))
+    # |a & b| >= t |a | b|
+    return met.where(inter * (100 + similarity_pct) >= (F.size("a") + F.size("b")) * similarity_pct).select("train_row", "test_row")
 
 
 def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pct: int = 80) -> DataFrame:
@@ -79,42 +149,22 @@ def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pc
 
     # Every row is stored once, with a number; texts are told apart by their key.
     both = side(train, True).unionByName(side(test, False)).withColumn("row", F.monotonically_increasing_id())
-    rows = durable(both.withColumn("key", F.sha2("norm", 256)))
+    rows = durable(both.withColumn("key", F.sha2("norm", 256)), "zstd")
     # Distinct texts of each side, with how many rows hold them and the least id; the least row stands for them.
     texts = durable(rows.groupBy("train", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"), F.min("row").alias("row")))
-    frequent, slots = _frequent(rows, texts, size)
-    hashed = rows.select("row", _hashes(F.col("norm"), size).alias("h")).where(F.size("h") > 0)
-    hashed = hashed.withColumn("_maps", frequent)
-    seen = lambda h: F.get(F.col("_maps"), F.pmod(F.hash(h), F.lit(slots)))[h]
-    marked = F.transform("h", lambda h: F.struct(seen(h).alias("df"), h.alias("h")))
+    first = _with_value(rows, texts.select("row", F.lit(1).alias("value"))).drop("value")
+    counts, slots = _counted(first, size)
+    hashed = first.select("row", "train", _hashes(F.col("norm"), size).alias("h")).where(F.size("h") > 0).withColumn("_counts", counts)
+    # The count above the hash: sorted, they are in the order of the prefixes. One per shingle, so that a collision loses nothing.
+    low = F.lit((1 << _HASH_BITS) - 1)
+    ordered = F.sort_array(F.transform("h", lambda h: F.shiftleft(F.get(F.col("_counts"), F.pmod(h, F.lit(slots)).cast("int")), _HASH_BITS).bitwiseOR(h.bitwiseAND(low))))
     need = F.expr(f"size(h) - ({similarity_pct} * size(h) + 99) div 100 + 1").cast("int")  # n - ceil(t n) + 1, in integers
-
-    def prefix(m: Column) -> Column:
-        rare = F.sort_array(F.transform(F.filter(m, lambda x: x["df"].isNull()), lambda x: x["h"]))
-        known = F.sort_array(F.filter(m, lambda x: x["df"].isNotNull()))
-        return F.slice(F.concat(rare, F.transform(known, lambda x: x["h"])), F.lit(1), need)
-
-    prefixes = hashed.select("row", F.size("h").alias("n"), F.transform(F.array(marked), prefix)[0].alias("tokens"))
-    prefixes = durable(texts.select("row", "train").join(prefixes, "row"))
-    tokens = prefixes.select("row", "train", "n", F.explode(F.array_distinct("tokens")).alias("token"))
+    tokens = hashed.select("row", "train", F.size("h").alias("n"), F.explode(F.array_distinct(F.slice(ordered, F.lit(1), need))).alias("token"))
     a = tokens.where("train").select(F.col("row").alias("train_row"), F.col("n").alias("na"), "token")
     b = tokens.where(~F.col("train")).select(F.col("row").alias("test_row"), F.col("n").alias("nb"), "token")
     # Sizes of similar sets differ by at most the share: 100 * min >= pct * max.
     candidates = durable(a.join(b, "token").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity_pct).select("train_row", "test_row").distinct())
-    named = durable(candidates.select(F.explode(F.array("train_row", "test_row")).alias("row")).distinct())
-    full = durable(rows.select("row", "norm").join(named, "row", "left_semi"))
-    full_a = full.select(F.col("row").alias("train_row"), F.col("norm").alias("norm_a"))
-    full_b = full.select(F.col("row").alias("test_row"), F.col("norm").alias("norm_b"))
-    of = lambda norm: shingles(words_of(F.col(norm)), size)
-    similar = F.transform(
-        F.array(F.struct(of("norm_a").alias("a"), of("norm_b").alias("b"))),
-        lambda s: F.struct((F.size(s["a"]) + F.size(s["b"])).alias("sum"), F.size(F.array_intersect(s["a"], s["b"])).alias("inter")),
-    )[0]
-    confirmed = (
-        candidates.join(full_a, "train_row").join(full_b, "test_row")
-        .select("train_row", "test_row", F.transform(F.array(similar), lambda s: s["inter"] * 100 >= (s["sum"] - s["inter"]) * similarity_pct)[0].alias("near"))
-        .where("near")
-    )
+    confirmed = _confirmed(rows, candidates, size, similarity_pct)
     train_texts = texts.where("train")
     test_keys = texts.where(~F.col("train")).select(F.col("row").alias("test_row"), F.col("key").alias("test_key"))
     te = rows.where(~F.col("train"))
