@@ -6,7 +6,8 @@ similarity ``t`` or more share one among the first ``n - ceil(t n) + 1`` of each
 frequent shingles last, as counted in a bounded, hash-chosen share of the texts, then goes by
 hash: the share decides how many candidates there are, never which pairs are found. Prefixes are
 cut inside their row, so only they are shuffled, a fifth of all shingles, and joined train
-against test (bipartite).
+against test (bipartite). How many hashes two prefixes share bounds the overlap of their sets,
+as what lies behind a prefix can't add more than its number: most pairs end there.
 
 Every candidate pair is confirmed on the full sets of its two texts, but no text moves once per
 pair: a train text goes to one home, named after its least candidate, so that a group of near
@@ -51,9 +52,10 @@ ORDER_SHINGLES = 50_000
 ORDER_LEAST = 8
 #: Rows up to which each task holds an integer of every row (32 MB); above, rows are joined to them.
 HELD_ROWS = 8_000_000
-#: Texts of a home, about: train texts, and test texts of one of its parts.
+#: Texts of a home, about: train texts, and test texts of one of its parts. A text counts once per so many shingles.
 HOME_TRAIN = 256
 HOME_TEST = 1024
+HOME_SHINGLES = 2048
 #: Bits of a prefix token below the count of its shingle.
 _HASH_BITS = 51
 _MOST_COUNTED = 4095
@@ -107,17 +109,17 @@ def _counted(rows: DataFrame, size: int) -> tuple[Column, int]:
 
 
 def _confirmed(rows: DataFrame, candidates: DataFrame, size: int, similarity_pct: int) -> DataFrame:
-    """The candidates (train_row, test_row) whose full sets are similar."""
-    homes = candidates.groupBy("train_row").agg(F.min("test_row").alias("leader"))
-    groups = homes.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / HOME_TRAIN).alias("blocks"))
+    """The candidates (train_row, test_row, with their numbers of shingles na, nb) whose full sets are similar."""
+    most = lambda n, texts: F.ceil(F.sum(F.greatest(F.lit(1.0), F.col(n) / HOME_SHINGLES)) / texts).cast("int")
+    homes = candidates.groupBy("train_row").agg(F.min("test_row").alias("leader"), F.min("na").alias("na"))
+    groups = homes.groupBy("leader").agg(most("na", HOME_TRAIN).alias("blocks"))
     # Homes that happen to get one name are one home.
     home = F.hash("leader", F.pmod(F.xxhash64("train_row"), "blocks")).alias("home")
     homes = durable(homes.join(groups, "leader").select("train_row", home))
-    visits = candidates.join(homes, "train_row").groupBy("test_row", "home").agg(F.collect_list("train_row").alias("partners"))
+    visits = candidates.join(homes, "train_row").groupBy("test_row", "home").agg(F.collect_list("train_row").alias("partners"), F.min("nb").alias("nb"))
     visits = durable(visits)
     # Homes that very many test texts visit have parts: each train text is in all of them, each visit in one.
-    busy = visits.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / HOME_TEST).cast("int").alias("parts")).where("parts > 1")
-    busy = durable(busy)
+    busy = durable(visits.groupBy("home").agg(most("nb", HOME_TEST).alias("parts")).where("parts > 1"))
     parted = lambda df: df.join(F.broadcast(busy), "home", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     values = homes.select(F.col("train_row").alias("row"), F.col("home").alias("value"))
     named = _with_value(rows, values.unionByName(visits.select(F.col("test_row").alias("row"), F.lit(0).alias("value")).distinct()))
@@ -128,10 +130,10 @@ def _confirmed(rows: DataFrame, candidates: DataFrame, size: int, similarity_pct
     # Texts are smaller than their hashes: sets are made behind the shuffle.
     train = train.select("home", "part", "train_row", "norm").repartition("home", "part").withColumn("a", _hashes(F.col("norm"), size)).drop("norm")
     test = test.select("home", "part", "test_row", "partners", "norm").repartition("home", "part").withColumn("b", _hashes(F.col("norm"), size)).drop("norm")
-    inter = F.size(F.array_intersect("a", "b"))
+    inter = F.size(F.array_intersect("a", "b")).cast("long")
     met = train.join(test, ["home", "part"]).where(F.array_contains("partners", F.col("train_row")))
     # |a & b| >= t |a | b|
-    return met.where(inter * (100 + similarity_pct) >= (F.size("a") + F.size("b")) * similarity_pct).select("train_row", "test_row")
+    return met.where(inter * (100 + similarity_pct) >= (F.size("a").cast("long") + F.size("b")) * similarity_pct).select("train_row", "test_row")
 
 
 def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pct: int = 80) -> DataFrame:
@@ -158,12 +160,17 @@ def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pc
     # The count above the hash: sorted, they are in the order of the prefixes. One per shingle, so that a collision loses nothing.
     low = F.lit((1 << _HASH_BITS) - 1)
     ordered = F.sort_array(F.transform("h", lambda h: F.shiftleft(F.get(F.col("_counts"), F.pmod(h, F.lit(slots)).cast("int")), _HASH_BITS).bitwiseOR(h.bitwiseAND(low))))
-    need = F.expr(f"size(h) - ({similarity_pct} * size(h) + 99) div 100 + 1").cast("int")  # n - ceil(t n) + 1, in integers
-    tokens = hashed.select("row", "train", F.size("h").alias("n"), F.explode(F.array_distinct(F.slice(ordered, F.lit(1), need))).alias("token"))
+    least = lambda n: f"({similarity_pct} * cast({n} as bigint) + 99) div 100"  # noqa: E731  ceil(t n), in integers
+    need = F.expr(f"size(h) - {least('size(h)')} + 1").cast("int")
+    tokens = hashed.select("row", "train", F.size("h").alias("n"), F.explode(F.slice(ordered, F.lit(1), need)).alias("token"))
     a = tokens.where("train").select(F.col("row").alias("train_row"), F.col("n").alias("na"), "token")
     b = tokens.where(~F.col("train")).select(F.col("row").alias("test_row"), F.col("n").alias("nb"), "token")
     # Sizes of similar sets differ by at most the share: 100 * min >= pct * max.
-    candidates = durable(a.join(b, "token").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity_pct).select("train_row", "test_row").distinct())
+    met = a.join(b, "token").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity_pct)
+    met = met.groupBy("train_row", "test_row").agg(F.count(F.lit(1)).alias("shared"), F.min("na").alias("na"), F.min("nb").alias("nb"))
+    # The prefix that ends first has all common hashes up to its end in the other one too; behind it are n - need of its own.
+    overlap = f"({similarity_pct} * (cast(na as bigint) + nb) + {99 + similarity_pct}) div {100 + similarity_pct}"
+    candidates = durable(met.where(f"shared >= {overlap} - {least('greatest(na, nb)')} + 1").select("train_row", "test_row", "na", "nb"))
     confirmed = _confirmed(rows, candidates, size, similarity_pct)
     train_texts = texts.where("train")
     test_keys = texts.where(~F.col("train")).select(F.col("row").alias("test_row"), F.col("key").alias("test_key"))

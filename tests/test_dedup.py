@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 from prefspark.operators import dedup as U
 
@@ -79,3 +80,49 @@ def test_order_of_prefixes_does_not_change_the_result(spark, monkeypatch):
         monkeypatch.setattr(U, "ORDER_SHINGLES", shingles)
         monkeypatch.setattr(U, "ORDER_LEAST", least)
         assert run(spark, train, test) == want
+
+
+def test_homes_and_rows_cut_in_any_way(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = [" ".join(rnd.choice("abcdefghijk") for _ in range(120)) for _ in range(3)]
+
+    def variant():
+        w = rnd.choice(base).split(" ")
+        w[rnd.randrange(120)] = rnd.choice("xyz")
+        return " ".join(w)
+
+    train = [(i, variant()) for i in range(60)] + [(60, "a b"), (61, "a b c d e f g h i j")]
+    test = [(100 + i, variant()) for i in range(50)] + [(200, "A  b"), (201, "a b c d e f g h i"), (202, None)]
+    want = plain(train, test)
+    assert any(r[2] > 10 for r in want)
+    for name, value in (("HOME_TRAIN", 4), ("HOME_TEST", 3), ("HOME_SHINGLES", 10), ("HELD_ROWS", 20)):
+        monkeypatch.setattr(U, name, value)
+        assert run(spark, train, test) == want
+
+
+def test_texts_do_not_move_once_per_pair(spark):
+    # One group of near copies, 60 x 60 pairs: what goes to disk follows the texts, not the pairs.
+    rnd = random.Random(11)
+    words = ["%08x" % rnd.getrandbits(32) for _ in range(1000)]
+
+    def variant():
+        w = list(words)
+        for at in rnd.sample(range(1000), 3):
+            w[at] = "%08x" % rnd.getrandbits(32)
+        return " ".join(w)
+
+    train, test = [(i, variant()) for i in range(60)], [(100 + i, variant()) for i in range(60)]
+
+    def on_disk():
+        tops = [*spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString(), spark.conf.get("spark.checkpoint.dir")]
+        return {p: p.stat().st_size for top in tops for p in Path(top).rglob("*") if p.is_file() and "broadcast" not in p.name}
+
+    before, broadcast = on_disk(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with texts too large for it
+    try:
+        got = run(spark, train, test)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert [r[:3] for r in got] == [(100 + i, 0, 60) for i in range(60)]
+    new = sum(size for p, size in on_disk().items() if p not in before)
+    assert new < 4 * sum(len(t) for _, t in train + test)
