@@ -16,7 +16,7 @@ copies meets at one place, and a test text goes once to each home of its candida
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefspark.storage import durable
@@ -56,6 +56,8 @@ HELD_ROWS = 8_000_000
 HOME_TRAIN = 256
 HOME_TEST = 1024
 HOME_SHINGLES = 2048
+#: Places among which the hashes of one least row are dealt.
+LANES = 4
 #: Bits of a prefix token below the count of its shingle.
 _HASH_BITS = 51
 _MOST_COUNTED = 4095
@@ -163,10 +165,17 @@ def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pc
     least = lambda n: f"({similarity_pct} * cast({n} as bigint) + 99) div 100"  # noqa: E731  ceil(t n), in integers
     need = F.expr(f"size(h) - {least('size(h)')} + 1").cast("int")
     tokens = hashed.select("row", "train", F.size("h").alias("n"), F.explode(F.slice(ordered, F.lit(1), need)).alias("token"))
-    a = tokens.where("train").select(F.col("row").alias("train_row"), F.col("n").alias("na"), "token")
-    b = tokens.where(~F.col("train")).select(F.col("row").alias("test_row"), F.col("n").alias("nb"), "token")
+    # Hashes that both sides hold go to where the least row that holds them goes: those that two near copies
+    # share mostly meet there, and a pair leaves as few rows, not as one for each.
+    held = Window.partitionBy("token")
+    tokens = tokens.withColumn("least_row", F.min("row").over(held)).withColumn("both", F.min("train").over(held) != F.max("train").over(held)).where("both")
+    lists = tokens.withColumn("lane", F.pmod("token", F.lit(LANES))).repartition("least_row", "lane").groupBy("least_row", "lane", "token").agg(
+        *[F.collect_list(F.when(F.col("train") == side, F.struct("row", "n"))).alias(name) for name, side in (("a", True), ("b", False))]
+    )
+    met = lists.select(F.explode("a").alias("a"), "b").select("a", F.explode("b").alias("b"))
+    met = met.select(F.col("a.row").alias("train_row"), F.col("b.row").alias("test_row"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
     # Sizes of similar sets differ by at most the share: 100 * min >= pct * max.
-    met = a.join(b, "token").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity_pct)
+    met = met.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity_pct)
     met = met.groupBy("train_row", "test_row").agg(F.count(F.lit(1)).alias("shared"), F.min("na").alias("na"), F.min("nb").alias("nb"))
     # The prefix that ends first has all common hashes up to its end in the other one too; behind it are n - need of its own.
     overlap = f"({similarity_pct} * (cast(na as bigint) + nb) + {99 + similarity_pct}) div {100 + similarity_pct}"
