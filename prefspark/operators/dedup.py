@@ -31,21 +31,6 @@ def words_of(norm: Column) -> Column:
     return F.filter(F.split(norm, " "), lambda w: w != "")
 
 
-def shingles(words: Column, size: int) -> Column:
-    """Distinct ``size``-word shingles of a word column; with fewer words all of them as one; none: none.
-
-    The words are bound once, as a lambda variable: an expression read at every position would
-    be computed again there.
-    """
-
-    def of(w: Column) -> Column:
-        n = F.size(w)
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, size), " "))
-        return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
-
-    return F.transform(F.array(words), of)[0]
-
-
 #: Texts whose shingles are counted for the order of the prefixes, and how many of these a task holds.
 ORDER_TEXTS = 20_000
 ORDER_SHINGLES = 50_000
@@ -63,8 +48,12 @@ _HASH_BITS = 51
 _MOST_COUNTED = 4095
 
 
-def _hashes(norm: Column, size: int) -> Column:
-    """The distinct shingles (:func:`shingles`) as hashes of the hashes of their words."""
+def shingle_hashes(norm: Column, size: int) -> Column:
+    """Distinct ``size``-word shingles as hashes of the hashes of their words; with fewer words all of them as one; none: none.
+
+    The words' hashes are bound once, as a lambda variable: an expression read at every position
+    would be computed again there.
+    """
 
     def of(h: Column) -> Column:
         n = F.size(h)
@@ -96,11 +85,14 @@ def _with_value(rows: DataFrame, values: DataFrame) -> DataFrame:
     return rows.withColumn("value", F.get(F.get(held, task), place)).where(F.col("value").isNotNull())
 
 
-def _counted(rows: DataFrame, size: int) -> tuple[Column, int]:
-    """Counts of the shingles that many texts of a bounded share hold, as an array by slot; shingles of one slot share a count."""
-    step = max(1, rows.count() // ORDER_TEXTS)
+def _counted(rows: DataFrame, count: int, size: int) -> tuple[Column, int]:
+    """Counts of the shingles that many texts of a bounded share hold, as an array by slot; shingles of one slot share a count.
+
+    ``rows`` has one row for each of ``count`` texts.
+    """
+    step = max(1, count // ORDER_TEXTS)
     share = rows.where(F.pmod(F.xxhash64("row"), F.lit(step)) == 0)
-    counted = share.select(F.explode(_hashes(F.col("norm"), size)).alias("token"))
+    counted = share.select(F.explode(shingle_hashes(F.col("norm"), size)).alias("token"))
     counted = counted.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= ORDER_LEAST)
     held = durable(counted.orderBy(F.desc("n"), "token").limit(ORDER_SHINGLES))
     slots = max(1, 4 * held.count())
@@ -130,8 +122,8 @@ def _confirmed(rows: DataFrame, candidates: DataFrame, size: int, similarity_pct
     test = parted(named.where(~F.col("train")).select(F.col("row").alias("test_row"), "norm").join(visits, "test_row"))
     test = test.withColumn("part", F.pmod(F.xxhash64("test_row"), "parts").cast("int"))
     # Texts are smaller than their hashes: sets are made behind the shuffle.
-    train = train.select("home", "part", "train_row", "norm").repartition("home", "part").withColumn("a", _hashes(F.col("norm"), size)).drop("norm")
-    test = test.select("home", "part", "test_row", "partners", "norm").repartition("home", "part").withColumn("b", _hashes(F.col("norm"), size)).drop("norm")
+    train = train.select("home", "part", "train_row", "norm").repartition("home", "part").withColumn("a", shingle_hashes(F.col("norm"), size)).drop("norm")
+    test = test.select("home", "part", "test_row", "partners", "norm").repartition("home", "part").withColumn("b", shingle_hashes(F.col("norm"), size)).drop("norm")
     inter = F.size(F.array_intersect("a", "b")).cast("long")
     met = train.join(test, ["home", "part"]).where(F.array_contains("partners", F.col("train_row")))
     # |a & b| >= t |a | b|
@@ -157,8 +149,8 @@ def prompt_dedup(train: DataFrame, test: DataFrame, size: int = 5, similarity_pc
     # Distinct texts of each side, with how many rows hold them and the least id; the least row stands for them.
     texts = durable(rows.groupBy("train", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"), F.min("row").alias("row")))
     first = _with_value(rows, texts.select("row", F.lit(1).alias("value"))).drop("value")
-    counts, slots = _counted(first, size)
-    hashed = first.select("row", "train", _hashes(F.col("norm"), size).alias("h")).where(F.size("h") > 0).withColumn("_counts", counts)
+    counts, slots = _counted(first, texts.count(), size)
+    hashed = first.select("row", "train", shingle_hashes(F.col("norm"), size).alias("h")).where(F.size("h") > 0).withColumn("_counts", counts)
     # The count above the hash: sorted, they are in the order of the prefixes. One per shingle, so that a collision loses nothing.
     low = F.lit((1 << _HASH_BITS) - 1)
     ordered = F.sort_array(F.transform("h", lambda h: F.shiftleft(F.get(F.col("_counts"), F.pmod(h, F.lit(slots)).cast("int")), _HASH_BITS).bitwiseOR(h.bitwiseAND(low))))
